@@ -23,6 +23,11 @@ def insert_update_split(df: DataFrame, update="UpdateDate") -> tuple[DataFrame,
     return df.filter(F.col(update).isNull()), df.filter(F.col(update).isNotNull())
 
 
+def tag_insert_update(df: DataFrame, update="UpdateDate", col="branch") -> DataFrame:
+    """P-2 in one pass: the branch each row takes, as a column."""
+    return df.withColumn(col, F.when(F.col(update).isNull(), F.lit("insert")).otherwise(F.lit("update")))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """A-3: one row per key, repeatably: the row that is greatest by ``order``
     and then by every other column (NULL ranks lowest).

@@ -49,6 +49,13 @@ def current(ws: Workspace, entity: str) -> DataFrame:
     return current_lookup(staged(ws, entity), keys).drop("BatchId")
 
 
+def snapshot(ws: Workspace, entity: str) -> DataFrame:
+    """Current versions of an entity written as one small table, refreshed
+    after each staging load; lookups read this instead of re-deriving it
+    from every staged day."""
+    return ws.parquet(f"current/{entity}", lambda: current(ws, entity))
+
+
 # ---------------------------------------------------------------- reseller files
 
 def csv_feed_path(ws: Workspace) -> str:
@@ -79,9 +86,9 @@ def file_reseller(source_file: str = "source_file"):
 
 def lookups(ws: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Current events, locations and resellers as the rules read them."""
-    return (current(ws, "event").select("EventName", "TicketCost", "CreateDate"),
-            current(ws, "location").select("LocName"),
-            current(ws, "reseller").select("ResellerId"))
+    return (snapshot(ws, "event").select("EventName", "TicketCost", "CreateDate"),
+            snapshot(ws, "location").select("LocName"),
+            snapshot(ws, "reseller").select("ResellerId"))
 
 
 def csv_flags(ws: Workspace, run_date: dt.date = fx.FILE_RUN_DATE) -> DataFrame:

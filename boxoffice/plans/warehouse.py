@@ -40,7 +40,7 @@ def dim(ws: Workspace, name: str) -> DataFrame:
 def fact_dims(ws: Workspace) -> factplans.Dims:
     return factplans.Dims(event=dim(ws, "event"), customer=dim(ws, "customer"), venue=dim(ws, "venue"),
                           location=dim(ws, "location"), reseller=dim(ws, "reseller"),
-                          commission=stg.current(ws, "commission"), calendar=calendar(ws))
+                          commission=stg.snapshot(ws, "commission"), calendar=calendar(ws))
 
 
 def platform_fact(ws: Workspace, unknown_member: bool = False) -> DataFrame:

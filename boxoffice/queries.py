@@ -105,7 +105,7 @@ def jdbc_export_roundtrip(ws):
     second = d.filter(F.col("row_wid") % 2 == 1)
     database.export_jdbc(first, url, "DIM_RESELLER", opts)
     database.export_jdbc(second, url, "DIM_RESELLER", opts)
-    return database.read_jdbc(ws.spark, url, "DIM_RESELLER", opts).cache()
+    return database.read_jdbc(ws.spark, url, "DIM_RESELLER", opts)
 
 
 def _customer_resync(ws) -> DataFrame:
@@ -170,10 +170,8 @@ def xml_flatten(ws):
 
 @query
 def insert_update_split(ws):
-    ins, upd = changes.insert_update_split(stg.staged(ws, "transaction"))
-    cols = ["TransId", LOAD_COL, "CreateDate", "UpdateDate"]
-    return ins.select(*cols, F.lit("insert").alias("branch")) \
-        .unionByName(upd.select(*cols, F.lit("update").alias("branch")))
+    st = stg.staged(ws, "transaction").select("TransId", LOAD_COL, "CreateDate", "UpdateDate")
+    return changes.tag_insert_update(st)
 
 
 @query
@@ -238,7 +236,7 @@ def fact_all_channels(ws):
 def commission_lookup(ws):
     """J-5: current platform sales with the commission of (event, reseller)."""
     tx = stg.current(ws, "transaction").select("TransId", "EventId", "Reseller_id")
-    com = stg.current(ws, "commission").select("EvntId", "ResId", "Commission")
+    com = stg.snapshot(ws, "commission").select("EvntId", "ResId", "Commission")
     return tx.join(com, (tx["EventId"] == com["EvntId"]) & (tx["Reseller_id"] == com["ResId"]), "left") \
         .select("TransId", "EventId", "Reseller_id", "Commission")
 
@@ -287,7 +285,7 @@ def schema_conformance(ws):
 @query
 def file_name_gate(ws):
     paths = files.list_files(ws.spark, stg.csv_feed_path(ws), "*.csv")
-    return checks.file_name_gate(paths, stg.current(ws, "reseller"), fx.FILE_RUN_DATE)
+    return checks.file_name_gate(paths, stg.snapshot(ws, "reseller"), fx.FILE_RUN_DATE)
 
 
 @query

@@ -30,11 +30,21 @@ def change_versions(src: DataFrame, create="CreateDate", update="UpdateDate") ->
                       F.col("_v.d").alias(LOAD_COL))
 
 
+def by_partition_value(df: DataFrame, partition_col: str, num_partitions: int | None = None) -> DataFrame:
+    """Lay rows out for a write partitioned by ``partition_col``: a range
+    partitioning on (value, row hash) gives each task a contiguous run of
+    values, so a small day is one file, while a day holding a large share of
+    the rows is split over several tasks by the hash. The explicit count keeps
+    AQE from folding everything into one writer."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, F.col(partition_col), F.hash(*[F.col(c) for c in df.columns]))
+
+
 def write_staging(df: DataFrame, path: str, partition_col: str = LOAD_COL) -> None:
     """K-1: append a load to a staging table partitioned by load date. Dynamic
     partition overwrite replaces only the days present in ``df``, so rerunning
     a day replaces it instead of duplicating it."""
-    (df.write.mode("overwrite")
+    (by_partition_value(df, partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col)
      .parquet(path))

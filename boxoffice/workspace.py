@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from boxoffice.session import shared_root
 
 # Bump when a derived-table definition changes, so stale folders are not reused.
-LAYOUT_VERSION = "v4"
+LAYOUT_VERSION = "v5"
 DONE_MARKER = "_BOXOFFICE_DONE"
 
 
@@ -23,6 +23,11 @@ class Workspace:
         self.sf_dir = sf_dir.rstrip("/")
         tag = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:12]
         self.root = f"{shared_root(spark)}/boxoffice-{LAYOUT_VERSION}/{tag}"
+        # Day-partitioned tables have thousands of folders; Spark's default
+        # lists them with one task per folder. Cap it unless the cluster chose.
+        key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+        if spark.conf.get(key, "10000") == "10000":
+            spark.conf.set(key, str(max(16, 2 * spark.sparkContext.defaultParallelism)))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -54,8 +59,8 @@ class Workspace:
         def build(p: str) -> None:
             df = make()
             if partition_by:
-                # one file per partition value instead of one per task and value
-                df = df.repartition(partition_by)
+                from boxoffice.sources.tables import by_partition_value
+                df = by_partition_value(df, partition_by)
             w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
             if partition_by:
                 w = w.partitionBy(partition_by)
