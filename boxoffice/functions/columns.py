@@ -45,19 +45,19 @@ def flag(cond: Column) -> Column:
 def ipv4_to_long(ip) -> Column:
     """Dotted quad to its 32-bit value as a long (NULL for malformed text)."""
     parts = F.split(_c(ip), r"\.")
-    octs = [F.element_at(parts, i).cast("long") for i in range(1, 5)]
+    octs = [F.try_element_at(parts, F.lit(i)).try_cast("long") for i in range(1, 5)]
     ok = (F.size(parts) == 4)
     for o in octs:
         ok = ok & o.between(0, 255)
     val = octs[0] * 16777216 + octs[1] * 65536 + octs[2] * 256 + octs[3]
-    return F.when(ok, val)
+    return F.when(F.coalesce(ok, F.lit(False)), val)
 
 
 def cidr_bounds(network) -> tuple[Column, Column]:
     """``a.b.c.d/len`` to the first and last address of the block."""
     net = _c(network)
     addr = ipv4_to_long(F.split(net, "/").getItem(0))
-    plen = F.split(net, "/").getItem(1).cast("int")
+    plen = F.try_element_at(F.split(net, "/"), F.lit(2)).try_cast("int")
     size = F.pow(F.lit(2.0), F.lit(32) - plen).cast("long")
     start = addr - (addr % size)
     return start, start + size - 1
