@@ -12,6 +12,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxoffice.functions.columns import ntz_literal
+
 # Fixed values of the fixture design (not taken from any source system).
 BASE_CREATE = dt.date(1995, 1, 1)
 BASE_UPDATE = dt.date(1996, 1, 1)
@@ -271,7 +273,7 @@ def f_web_customer(spark, sf_dir) -> DataFrame:
         F.col("c_custkey").alias("cust_document_no"),
         F.col("c_name").alias("customer_name"),
         _days_after(DOB_BASE, F.col("c_custkey") % 10000).cast("timestamp_ntz").alias("date_of_birth"),
-        (F.lit(WEB_BASE).cast("timestamp_ntz")
+        (ntz_literal(WEB_BASE)
          + F.make_dt_interval((F.col("c_custkey") % 31).cast("int"), (F.col("c_custkey") % 24).cast("int"))).alias("created_at"),
     )
 
@@ -282,7 +284,7 @@ def f_company(spark, sf_dir) -> DataFrame:
         F.col("c_custkey").alias("cuit_identifier"),
         F.col("c_name").alias("company_name"),
         F.col("c_mktsegment").alias("company_type"),
-        (F.lit(WEB_BASE).cast("timestamp_ntz")
+        (ntz_literal(WEB_BASE)
          + F.make_dt_interval(((F.col("c_custkey") + 7) % 31).cast("int"), (F.col("c_custkey") % 24).cast("int"))).alias("created_at"),
     )
 
@@ -292,7 +294,7 @@ def _products(spark, sf_dir, seller: bool) -> DataFrame:
     p = p.filter(F.col("p_size") <= 25) if seller else p.filter(F.col("p_size") > 25)
     return p.select(
         F.col("p_partkey").alias("prod_id"),
-        (F.lit(WEB_BASE).cast("timestamp_ntz")
+        (ntz_literal(WEB_BASE)
          + F.make_dt_interval((F.col("p_partkey") % 31).cast("int"), (F.col("p_partkey") % 24).cast("int"))).alias("created_at"),
     )
 

@@ -34,7 +34,12 @@ def same_day(ts, day: dt.date) -> Column:
     start = dt.datetime.combine(day, dt.time())
     end = start + dt.timedelta(days=1)
     ts = _c(ts)
-    return (ts >= F.lit(start).cast("timestamp_ntz")) & (ts < F.lit(end).cast("timestamp_ntz"))
+    return (ts >= ntz_literal(start)) & (ts < ntz_literal(end))
+
+
+def ntz_literal(t: dt.datetime) -> Column:
+    """A wall-clock timestamp literal, free of session and process time zones."""
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def flag(cond: Column) -> Column:

@@ -61,10 +61,11 @@ def scd1_update(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     (see ``latest_per_key``). A match flag, not ``coalesce``, decides, so an
     update to NULL is applied. ``target_match`` restricts which target rows may
     match (``sold_by = 'platfrom'``)."""
+    from boxoffice.operators.lookups import bounded_broadcast
     keys = list(keys)
-    u = updates.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                       *[F.col(c).alias(f"_n_{c}") for c in set_cols],
-                       F.lit(True).alias("_matched"))
+    u = bounded_broadcast(updates.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
+                                         *[F.col(c).alias(f"_n_{c}") for c in set_cols],
+                                         F.lit(True).alias("_matched")))
     cond = [target[k] == u[f"_k_{k}"] for k in keys]
     if target_match is not None:
         cond.append(target_match)

@@ -32,14 +32,16 @@ def surrogate_key(df: DataFrame, order: Sequence[str], key_col: str = "row_wid",
     counts = {r["p"]: r["count"] for r in
               ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()}
     offsets, acc = [], start
-    for p in range(max(counts, default=-1) + 1):
-        offsets.append(acc)
-        acc += counts.get(p, 0)
+    for p in sorted(counts):
+        offsets.append((p, acc))
+        acc += counts[p]
+    # one row per non-empty partition: bounded by the partition count, not the data
+    base = F.broadcast(spark.createDataFrame(offsets or [(0, start)], "_p int, _base long"))
     pid = F.spark_partition_id()
-    base = (F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
-            if offsets else F.lit(start).cast("long"))
     pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    return ranged.select((base + pos + 1).alias(key_col), *[F.col(c) for c in df.columns])
+    numbered = ranged.select(pid.alias("_p"), pos.alias("_pos"), *[F.col(c) for c in df.columns])
+    return numbered.join(base, "_p").select((F.col("_base") + F.col("_pos") + 1).alias(key_col),
+                                            *[F.col(c) for c in df.columns])
 
 
 def next_key_start(existing: DataFrame | None, key_col: str = "row_wid") -> int:

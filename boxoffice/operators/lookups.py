@@ -11,14 +11,25 @@ from pyspark.sql import functions as F
 # Row bound under which a lookup side is broadcast. Above it the join stays a
 # shuffle join and AQE (skew splitting, runtime broadcast) takes over.
 BROADCAST_MAX_ROWS = 2_000_000
+# Catalyst's size estimate above which no count is attempted at all.
+ESTIMATE_MAX_BYTES = 1 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the plan (file sizes for scans)."""
+    v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(v if isinstance(v, int) else v.toString())
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
 
-    ``limit(max_rows + 1).count()`` stops reading once the bound is passed, so
-    the check costs at most ``max_rows + 1`` rows even on a huge table.
+    A plan whose estimated size is beyond any broadcast is rejected from its
+    statistics alone. Otherwise ``limit(max_rows + 1).count()`` proves the
+    bound, reading at most ``max_rows + 1`` rows per task.
     """
+    if estimated_bytes(df) > ESTIMATE_MAX_BYTES:
+        return df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -13,10 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from boxoffice.session import shared_root
 
 # Bump when a derived-table definition changes, so stale folders are not reused.
-LAYOUT_VERSION = "v5"
+LAYOUT_VERSION = "v6"
 DONE_MARKER = "_BOXOFFICE_DONE"
 
 
+# Tables written once are read through one DataFrame per path, so the file
+# listing (thousands of day folders) is done once per process, not per query.
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -65,4 +70,8 @@ class Workspace:
             if partition_by:
                 w = w.partitionBy(partition_by)
             w.parquet(p)
-        return self.spark.read.parquet(self.ensure(name, build))
+        p = self.ensure(name, build)
+        key = (id(self.spark), p)
+        if key not in _READS:
+            _READS[key] = self.spark.read.parquet(p)
+        return _READS[key]
