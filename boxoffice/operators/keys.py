@@ -26,9 +26,11 @@ def surrogate_key(df: DataFrame, order: Sequence[str], key_col: str = "row_wid",
     """
     spark = df.sparkSession
     shared_root(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .checkpoint(eager=True))
+    # Without an explicit count AQE sizes the range partitions from the real
+    # shuffle bytes (coalescing neighbours keeps the ranges ordered).
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    ranged = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
     counts = {r["p"]: r["count"] for r in
               ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()}
     offsets, acc = [], start

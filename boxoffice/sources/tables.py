@@ -36,7 +36,9 @@ def by_partition_value(df: DataFrame, partition_col: str, num_partitions: int |
     values, so a small day is one file, while a day holding a large share of
     the rows is split over several tasks by the hash. The explicit count keeps
     AQE from folding everything into one writer."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    n = num_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              2 * spark.sparkContext.defaultParallelism)
     return df.repartitionByRange(n, F.col(partition_col), F.hash(*[F.col(c) for c in df.columns]))
 
 
