@@ -63,13 +63,12 @@ WEBLOG_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 # Name of a reseller's daily file: DailySales_<MMDD><any digit><YY>_<reseller>.csv
 SALES_FILE_PATTERN = r"DailySales_(\d{2})(\d{2})\d(\d{2})_(-?\d+)\.csv"
 
-FILE_SALT = 4   # part files per feed file, so one large feed file is written by several tasks
-
-
 def write_sales_csv(df: DataFrame, path: str) -> None:
-    """One directory per feed file (``source_file=DailySales_…csv``), header on."""
-    salt = F.pmod(F.hash(F.col("Transaction ID")), F.lit(FILE_SALT))
-    (df.repartition("source_file", salt)
+    """One directory per feed file (``source_file=DailySales_…csv``), header on.
+    Rows are range-laid-out by (file, row hash): a small file is one part, a
+    large file is written by several tasks."""
+    from boxoffice.sources.tables import by_partition_value
+    (by_partition_value(df, "source_file")
      .write.mode("overwrite").partitionBy("source_file")
      .option("header", True).csv(path))
 
