@@ -26,6 +26,8 @@ from boxoffice.sources import files
 from boxoffice.sources.calendar import lookup_calendar
 from boxoffice.sources.tables import LOAD_COL, current_lookup, write_staging
 
+FACT_PART = "create_month"      # fact partitions: yyyymm of the sale's creation day
+
 STAGED_KEYS = {"customer": ["CustId"], "event": ["EventId"], "location": ["LocId"], "reseller": ["ResellerId"],
                "venue": ["VenueId"], "commission": ["EvntId", "ResId"], "transaction": ["TransId"]}
 DIM_ORDER = ["venue", "reseller", "location", "customer", "event"]
@@ -70,6 +72,26 @@ class Warehouse:
         fs.rename(htmp, hp)
         return self.spark.read.parquet(p)
 
+    def replace_partitions(self, kind: str, name: str, df: DataFrame, part_col: str,
+                           values: list) -> None:
+        """Rewrite only the partitions ``values`` of a partitioned table: the
+        new rows of those partitions are written beside the table, then each
+        partition folder is swapped in. Other partitions are not touched."""
+        p = self.path(kind, name)
+        tmp = p + ".next"
+        df.write.mode("overwrite").partitionBy(part_col).parquet(tmp)
+        fs, _ = self._fs(p)
+        for v in values:
+            _, old = self._fs(f"{p}/{part_col}={v}")
+            _, new = self._fs(f"{tmp}/{part_col}={v}")
+            if fs.exists(old):
+                fs.delete(old, True)
+            if fs.exists(new):
+                fs.mkdirs(old.getParent())
+                fs.rename(new, old)
+        _, htmp = self._fs(tmp)
+        fs.delete(htmp, True)
+
 
 def stage_changes(wh: Warehouse, sources: dict[str, DataFrame], run_date: dt.date) -> None:
     """Entry 1: each source's rows created or updated on the run date, gated
@@ -132,16 +154,33 @@ def load_warehouse(wh: Warehouse, run_date: dt.date, calendar_span: tuple[dt.dat
     com = current_lookup(wh.read("staging", "commission"), STAGED_KEYS["commission"])
     d = factplans.Dims(loaded["event"], loaded["customer"], loaded["venue"], loaded["location"],
                        loaded["reseller"], com, cal)
-    fact = wh.read("dwh", "transaction")
+    # The fact table is partitioned by creation month. A day's inserts land
+    # in its own month; its updates hit the months their sales were created
+    # in (known from the staged update rows). Only those months are rewritten.
     tx = day_rows("transaction")
-    if tx is not None:
-        fact = factplans.load_platform_fact(tx, d, existing=fact)
     csv = day_rows("spreadsheet_transaction")
+    months = set()
+    if tx is not None:
+        months |= {r.m for r in tx.select((F.year("CreateDate") * 100 + F.month("CreateDate")).alias("m"))
+                   .distinct().collect()}
+    if csv is not None:
+        months |= {r.m for r in csv.select((F.year("createDate") * 100 + F.month("createDate")).alias("m"))
+                   .distinct().collect()}
+    months.discard(None)
+    if not months:
+        return
+    old = wh.read("dwh", "transaction")
+    touched = None if old is None else old.filter(F.col(FACT_PART).isin(sorted(months))).drop(FACT_PART)
+    fact = touched
+    if tx is not None:
+        fact = factplans.load_platform_fact(tx, d, existing=touched)
     if csv is not None:
         new_csv = factplans.load_file_fact(csv, d, factplans.SOLD_BY_CSV)
         fact = new_csv if fact is None else fact.unionByName(new_csv)
     if fact is not None:
-        wh.replace("dwh", "transaction", fact)
+        wh.replace_partitions("dwh", "transaction",
+                              fact.withColumn(FACT_PART, (F.col("createDt_id") / 100).cast("int")),
+                              FACT_PART, sorted(months))
 
 
 def reconcile_or_rollback(wh: Warehouse, run_date: dt.date) -> None:
@@ -159,6 +198,11 @@ def reconcile_or_rollback(wh: Warehouse, run_date: dt.date) -> None:
         .filter(F.col("date_dim_id") == day)
     bad = rec.filter(~F.col("ok")).collect()
     if bad:
-        wh.replace("dwh", "transaction",
-                   changes.rollback_day_channel(fact, day, factplans.SOLD_BY_PLATFORM))
+        # months holding rows created or updated on the day (a bounded list)
+        hit = fact.filter((F.col("createDt_id") == day) | (F.col("UpdateDt_id") == day)) \
+            .select(FACT_PART).distinct().collect()
+        months = sorted(r[FACT_PART] for r in hit)
+        kept = changes.rollback_day_channel(fact.filter(F.col(FACT_PART).isin(months)), day,
+                                            factplans.SOLD_BY_PLATFORM)
+        wh.replace_partitions("dwh", "transaction", kept, FACT_PART, months)
         raise checks.GateError(f"warehouse reconciliation failed for {run_date}: {[r.asDict() for r in bad]}")
