@@ -94,3 +94,15 @@ def test_quarantine_reads_feed_once(spark, tmp_dir):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert plan.count(tmp_dir.rstrip("/").split("/")[-1]) == 1
     assert q.count() == 4
+
+
+def test_create_table_if_absent_is_idempotent(spark, tmp_dir):
+    from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
+    from boxoffice.sources.tables import create_table_if_absent
+    schema = StructType([StructField("k", LongType(), False), StructField("v", StringType()),
+                         StructField("load_date", DateType())])
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    create_table_if_absent(spark, name, schema, tmp_dir, ["load_date"])
+    spark.createDataFrame([(1, "a", D(2000, 1, 1))], schema).write.insertInto(name)
+    create_table_if_absent(spark, name, schema, tmp_dir, ["load_date"])      # second call keeps the data
+    assert [tuple(r) for r in spark.table(name).collect()] == [(1, "a", D(2000, 1, 1))]
