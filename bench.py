@@ -29,6 +29,7 @@ def main():
     spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus)
     ws = Workspace(spark, sf_dir)
     t0 = time.time()
+    stg.sales_source(ws)
     for e in stg.ENTITIES:
         stg.staged(ws, e)
         stg.snapshot(ws, e)

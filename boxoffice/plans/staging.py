@@ -32,10 +32,22 @@ def with_batch(df: DataFrame) -> DataFrame:
     return df.withColumn("BatchId", date_id(LOAD_COL))
 
 
+def source(ws: Workspace, entity: str) -> DataFrame:
+    """The entity's source table (current state), written once from the
+    stand-in definition; pulls filter it with pushed-down predicates, as the
+    reference's pulls filter inside the database."""
+    make, _ = ENTITIES[entity]
+    return ws.parquet(f"source/{entity}", lambda: make(ws.spark, ws.sf_dir))
+
+
+def sales_source(ws: Workspace) -> DataFrame:
+    """All sales of the three channels as one source table."""
+    return ws.parquet("source/sale", lambda: fx.f_sale(ws.spark, ws.sf_dir))
+
+
 def source_versions(ws: Workspace, entity: str) -> DataFrame:
     """Every daily change pull of an entity, derived from its current state."""
-    make, _ = ENTITIES[entity]
-    return with_batch(change_versions(make(ws.spark, ws.sf_dir)))
+    return with_batch(change_versions(source(ws, entity)))
 
 
 def staged(ws: Workspace, entity: str) -> DataFrame:

@@ -37,12 +37,12 @@ def query(fn):
 
 @query
 def incremental_pull(ws):
-    return changes.incremental_pull(fx.f_platform_transaction(ws.spark, ws.sf_dir), fx.CHANGE_DAY)
+    return changes.incremental_pull(stg.source(ws, "transaction"), fx.CHANGE_DAY)
 
 
 @query
 def incremental_count(ws):
-    return changes.incremental_pull(fx.f_platform_transaction(ws.spark, ws.sf_dir), fx.CHANGE_DAY) \
+    return changes.incremental_pull(stg.source(ws, "transaction"), fx.CHANGE_DAY) \
         .agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -251,8 +251,7 @@ def latest_per_key(ws):
 
 @query
 def distinct_key_count(ws):
-    s = fx.f_sale(ws.spark, ws.sf_dir)
-    return changes.distinct_key_count(s, ["reseller_id"], "n_keys", by=["feed"])
+    return changes.distinct_key_count(stg.sales_source(ws), ["reseller_id"], "n_keys", by=["feed"])
 
 
 @query
