@@ -18,6 +18,9 @@ def get_session(master: str | None = None, app: str = "boxoffice",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode runs every task inside the driver JVM
+            builder = builder.config("spark.driver.memory", "16g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = (builder
