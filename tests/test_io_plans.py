@@ -1,8 +1,6 @@
 import datetime as dt
 import uuid
 
-from pyspark.sql import functions as F
-
 from boxoffice.operators.rangejoin import ip_range_lookup
 from boxoffice.sources import database, files
 

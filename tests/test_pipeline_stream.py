@@ -1,7 +1,6 @@
 import datetime as dt
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from boxoffice import fixtures as fx
