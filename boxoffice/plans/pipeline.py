@@ -51,25 +51,49 @@ class Warehouse:
         return fs.exists(hp)
 
     def read(self, kind: str, name: str) -> DataFrame | None:
-        """The table, or None when it does not exist or holds no files yet."""
+        """The table, or None when it does not exist or holds no files yet. A
+        swap interrupted after the old copy was moved aside is undone first."""
         p = self.path(kind, name)
-        if not self.exists(p):
+        fs, hp = self._fs(p)
+        _, aside = self._fs(p + ".old")
+        if not fs.exists(hp) and fs.exists(aside):
+            fs.rename(aside, hp)
+        _, parts_aside = self._fs(p + ".aside")
+        if fs.exists(parts_aside):                  # partitions moved aside by a stopped swap
+            for st in fs.listStatus(parts_aside):
+                _, ht = self._fs(f"{p}/{st.getPath().getName()}")
+                if not fs.exists(ht):
+                    fs.rename(st.getPath(), ht)
+            fs.delete(parts_aside, True)
+        if not fs.exists(hp):
             return None
         try:
             return self.spark.read.parquet(p)
         except AnalysisException:
             return None
 
+    def _swap_in(self, target: str, new: str, aside_path: str | None = None) -> None:
+        """Move ``new`` to ``target``: the old copy is renamed aside first and
+        removed last, so a stop at any point leaves a complete table."""
+        fs, ht = self._fs(target)
+        _, hn = self._fs(new)
+        _, aside = self._fs(aside_path or target + ".old")
+        fs.mkdirs(aside.getParent())
+        if fs.exists(aside):
+            fs.delete(aside, True)
+        if fs.exists(ht):
+            fs.rename(ht, aside)
+        fs.mkdirs(ht.getParent())
+        fs.rename(hn, ht)
+        if fs.exists(aside):
+            fs.delete(aside, True)
+
     def replace(self, kind: str, name: str, df: DataFrame) -> DataFrame:
         """Write the new state beside the old table, then swap it in."""
         p = self.path(kind, name)
         tmp = p + ".next"
         df.write.mode("overwrite").parquet(tmp)
-        fs, hp = self._fs(p)
-        _, htmp = self._fs(tmp)
-        if fs.exists(hp):
-            fs.delete(hp, True)
-        fs.rename(htmp, hp)
+        self._swap_in(p, tmp)
         return self.spark.read.parquet(p)
 
     def replace_partitions(self, kind: str, name: str, df: DataFrame, part_col: str,
@@ -82,15 +106,19 @@ class Warehouse:
         df.write.mode("overwrite").partitionBy(part_col).parquet(tmp)
         fs, _ = self._fs(p)
         for v in values:
-            _, old = self._fs(f"{p}/{part_col}={v}")
-            _, new = self._fs(f"{tmp}/{part_col}={v}")
-            if fs.exists(old):
-                fs.delete(old, True)
-            if fs.exists(new):
-                fs.mkdirs(old.getParent())
-                fs.rename(new, old)
+            target, new = f"{p}/{part_col}={v}", f"{tmp}/{part_col}={v}"
+            _, hn = self._fs(new)
+            _, ht = self._fs(target)
+            if fs.exists(hn):
+                # the old partition waits outside the table folder, where
+                # partition discovery cannot see it
+                self._swap_in(target, new, aside_path=f"{p}.aside/{part_col}={v}")
+            elif fs.exists(ht):
+                fs.delete(ht, True)          # every row of the partition was removed
         _, htmp = self._fs(tmp)
         fs.delete(htmp, True)
+        _, haside = self._fs(p + ".aside")
+        fs.delete(haside, True)
 
 
 def stage_changes(wh: Warehouse, sources: dict[str, DataFrame], run_date: dt.date) -> None:

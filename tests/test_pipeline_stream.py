@@ -60,3 +60,20 @@ def test_stream_validates_each_dropped_file_once(spark, tmp_dir):
     assert [(r.transID, r.Reseller_id) for r in staged] == [(1, 5)]
     errs = sorted(r.comment for r in spark.read.parquet(args["errors_path"]).collect())
     assert errs == ["invalid_date", "invalid_event", "invalid_ticket_amount"]
+
+
+def test_interrupted_swap_is_undone_on_read(spark, tmp_dir):
+    wh = pipeline.Warehouse(spark, tmp_dir)
+    df = spark.createDataFrame([(1, 199501), (2, 199502)], "k int, create_month int")
+    wh.replace("dwh", "t", df)
+    fs, hp = wh._fs(wh.path("dwh", "t"))
+    _, aside = wh._fs(wh.path("dwh", "t") + ".old")
+    fs.rename(hp, aside)                       # stopped after moving the old copy aside
+    assert sorted(r.k for r in wh.read("dwh", "t").collect()) == [1, 2]
+    wh.replace_partitions("dwh", "p", df, "create_month", [199501, 199502])
+    p = wh.path("dwh", "p")
+    _, part = wh._fs(f"{p}/create_month=199501")
+    _, paside = wh._fs(f"{p}.aside/create_month=199501")
+    fs.mkdirs(paside.getParent())
+    fs.rename(part, paside)                    # stopped inside a partition swap
+    assert sorted(r.k for r in wh.read("dwh", "p").collect()) == [1, 2]
