@@ -123,7 +123,8 @@ class Warehouse:
 
 def stage_changes(wh: Warehouse, sources: dict[str, DataFrame], run_date: dt.date) -> None:
     """Entry 1: each source's rows created or updated on the run date, gated
-    on count, appended to its staging table for the day."""
+    on count, appended to its staging table for the day; then the entity's
+    current-version table is refreshed from that day alone."""
     for name, src in sources.items():
         pulled = changes.incremental_pull(src, run_date).withColumn(LOAD_COL, F.lit(run_date)) \
             .withColumn("BatchId", date_id(LOAD_COL))
@@ -132,20 +133,35 @@ def stage_changes(wh: Warehouse, sources: dict[str, DataFrame], run_date: dt.dat
         staged = wh.spark.read.schema(pulled.schema).parquet(p).filter(F.col(LOAD_COL) == F.lit(run_date))
         checks.assert_gate(checks.count_gate(changes.incremental_pull(src, run_date), staged),
                            what=f"staging count {name}")
+        refresh_current(wh, name, staged)
+
+
+def refresh_current(wh: Warehouse, name: str, day_rows: DataFrame) -> DataFrame:
+    """Current version per key after a day: the previous current table plus
+    the day's staged rows, reduced per key. The daily cost follows the size of
+    the current table and the day, not of the whole staging history."""
+    new = day_rows.drop(LOAD_COL, "BatchId")
+    old = wh.read("current", name)
+    both = new if old is None else old.unionByName(new)
+    return wh.replace("current", name, current_lookup(both, STAGED_KEYS[name]))
+
+
+def current(wh: Warehouse, name: str) -> DataFrame | None:
+    return wh.read("current", name)
 
 
 def stage_csv_files(wh: Warehouse, drop_dir: str, run_date: dt.date) -> None:
     """Entry 2: reseller CSV files of the run date: name gate, non-empty gate,
     schema gate, rules; valid rows to staging, failures to quarantine."""
-    resellers = current_lookup(wh.read("staging", "reseller"), STAGED_KEYS["reseller"])
+    resellers = current(wh, "reseller")
     names = checks.file_name_gate(files.list_files(wh.spark, drop_dir, "*.csv"), resellers, run_date)
     checks.assert_gate(names, what="file name gate")
     checks.assert_gate(checks.non_empty_gate({"csv": files.read_sales_csv(wh.spark, drop_dir)}),
                        ok_col="has_rows", what="file non-empty gate")
     raw = files.read_sales_csv(wh.spark, drop_dir, typed=False)
     checks.assert_gate(checks.schema_conformance(raw, files.CSV_SCHEMA), what="schema gate")
-    ev = current_lookup(wh.read("staging", "event"), STAGED_KEYS["event"]).select("EventName", "TicketCost", "CreateDate")
-    loc = current_lookup(wh.read("staging", "location"), STAGED_KEYS["location"]).select("LocName")
+    ev = current(wh, "event").select("EventName", "TicketCost", "CreateDate")
+    loc = current(wh, "location").select("LocName")
     feed = files.read_sales_csv(wh.spark, drop_dir)
     flags = rules.rule_flags(feed, ev, loc, run_date).persist()
     try:
@@ -177,9 +193,9 @@ def load_warehouse(wh: Warehouse, run_date: dt.date, calendar_span: tuple[dt.dat
         ctx = {"location": loaded.get("location"), "venue": loaded.get("venue")}
         new = dimplans.load_dimension(staged, cal, dimplans.SPECS[name], existing=existing, context=ctx)
         loaded[name] = wh.replace("dwh", name, new)
-    if any(loaded[n] is None for n in DIM_ORDER) or wh.read("staging", "commission") is None:
+    com = current(wh, "commission")
+    if any(loaded[n] is None for n in DIM_ORDER) or com is None:
         return
-    com = current_lookup(wh.read("staging", "commission"), STAGED_KEYS["commission"])
     d = factplans.Dims(loaded["event"], loaded["customer"], loaded["venue"], loaded["location"],
                        loaded["reseller"], com, cal)
     # The fact table is partitioned by creation month. A day's inserts land

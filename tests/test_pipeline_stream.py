@@ -29,6 +29,13 @@ def test_two_days_through_the_pipeline(spark, tmp_dir):
             left = wh.read("dwh", "transaction").filter(
                 (F.col("sold_by") == "platfrom") & (F.col("createDt_id") == int(day.strftime("%Y%m%d"))))
             assert left.count() == 0
+    from boxoffice.sources.tables import current_lookup
+    for name in ("customer", "event", "transaction"):
+        if wh.read("staging", name) is None:         # nothing staged on these days
+            continue
+        inc = wh.read("current", name)
+        full = current_lookup(wh.read("staging", name), pipeline.STAGED_KEYS[name]).drop("BatchId")
+        assert sorted(map(repr, inc.select(*full.columns).collect())) == sorted(map(repr, full.collect()))
     cust = wh.read("dwh", "customer")
     keys = sorted(r.row_wid for r in cust.collect())
     assert keys == list(range(1, len(keys) + 1))        # dense across both days
