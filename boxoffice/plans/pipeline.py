@@ -236,8 +236,10 @@ def reconcile_or_rollback(wh: Warehouse, run_date: dt.date) -> None:
         return
     staged = staged.filter(F.col(LOAD_COL) == F.lit(run_date)) \
         .withColumn("sold_by", F.lit(factplans.SOLD_BY_PLATFORM))
-    rec = checks.reconcile_per_day(staged, date_id(LOAD_COL), ["TransId"],
-                                   fact.filter(F.col("sold_by") == factplans.SOLD_BY_PLATFORM),
+    # only rows touched on the day: a pushed-down filter, not a count of every day
+    touched = fact.filter((F.col("sold_by") == factplans.SOLD_BY_PLATFORM)
+                          & ((F.col("createDt_id") == day) | (F.col("UpdateDt_id") == day)))
+    rec = checks.reconcile_per_day(staged, date_id(LOAD_COL), ["TransId"], touched,
                                    ["createDt_id", "UpdateDt_id"], group_cols=["sold_by"]) \
         .filter(F.col("date_dim_id") == day)
     bad = rec.filter(~F.col("ok")).collect()
