@@ -85,8 +85,11 @@ def read_sales_csv(spark: SparkSession, path: str, typed: bool = True) -> DataFr
                       *[c for c in raw.columns if c not in CSV_SCHEMA.fieldNames()])
 
 
-def write_sales_xml(df: DataFrame, path: str, files: int = 8) -> None:
-    (df.repartition(files).write.mode("overwrite")
+def write_sales_xml(df: DataFrame, path: str, files: int | None = None) -> None:
+    """One XML file per task (or ``files`` files), so readers get as many
+    tasks as the writer had."""
+    df = df.repartition(files) if files else df
+    (df.write.mode("overwrite")
      .option("rowTag", XML_ROW_TAG).option("rootTag", "sales").xml(path))
 
 
@@ -112,8 +115,9 @@ def flatten_xml(df: DataFrame) -> DataFrame:
     )
 
 
-def write_weblog(df: DataFrame, path: str, files: int = 8) -> None:
-    (df.repartition(files).write.mode("overwrite")
+def write_weblog(df: DataFrame, path: str, files: int | None = None) -> None:
+    df = df.repartition(files) if files else df
+    (df.write.mode("overwrite")
      .option("sep", WEBLOG_SEP).option("timestampNTZFormat", WEBLOG_TS_FORMAT).csv(path))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from boxoffice.session import shared_root
 
 # Bump when a derived-table definition changes, so stale folders are not reused.
-LAYOUT_VERSION = "v12"
+LAYOUT_VERSION = "v13"
 DONE_MARKER = "_BOXOFFICE_DONE"
 
 
