@@ -1,10 +1,13 @@
 """The operators' registered queries, over whole tables with production parameters."""
 
-from boxoffice.llm import bpe, fingerprints, packing
+from boxoffice.llm import bpe, fingerprints, langid, packing, simhash, toxicity
 
 REGISTRY = {
     "op3_document_fingerprints": fingerprints.op3_document_fingerprints,
     "op5_packing": packing.op5_packing,
+    "op6_simhash": simhash.op6_simhash,
+    "op7_toxicity": toxicity.op7_toxicity,
+    "op8_language_id": langid.op8_language_id,
     "op10_byte_bpe": bpe.op10_byte_bpe,
 }
 
