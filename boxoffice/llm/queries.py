@@ -1,13 +1,15 @@
 """The operators' registered queries, over whole tables with production parameters."""
 
-from boxoffice.llm import bpe, fingerprints, langid, packing, simhash, toxicity
+from boxoffice.llm import ann, bpe, fingerprints, langid, packing, quality, simhash, toxicity
 
 REGISTRY = {
+    "op1_quality": quality.op1_quality,
     "op3_document_fingerprints": fingerprints.op3_document_fingerprints,
     "op5_packing": packing.op5_packing,
     "op6_simhash": simhash.op6_simhash,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_language_id": langid.op8_language_id,
+    "op9_nearest_neighbours": ann.op9_nearest_neighbours,
     "op10_byte_bpe": bpe.op10_byte_bpe,
 }
 
