@@ -1,10 +1,12 @@
 """The operators' registered queries, over whole tables with production parameters."""
 
-from boxoffice.llm import ann, bpe, fingerprints, langid, packing, quality, simhash, toxicity
+from boxoffice.llm import ann, bpe, chat, fingerprints, langid, licenses, packing, quality, simhash, toxicity
 
 REGISTRY = {
     "op1_quality": quality.op1_quality,
+    "op2_chat_formatting": chat.op2_chat_formatting,
     "op3_document_fingerprints": fingerprints.op3_document_fingerprints,
+    "op4_license_scan": licenses.op4_license_scan,
     "op5_packing": packing.op5_packing,
     "op6_simhash": simhash.op6_simhash,
     "op7_toxicity": toxicity.op7_toxicity,
@@ -13,4 +15,7 @@ REGISTRY = {
     "op10_byte_bpe": bpe.op10_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op2_chat_formatting": chat.OP2_SQL,
+    "op4_license_scan": licenses.OP4_SQL,
+}
