@@ -30,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from boxoffice.llm import common
 from boxoffice.llm.components import components
@@ -65,17 +66,24 @@ def simhash(text: str | None) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) per row; fp holds the 64 bits as a long. No shuffle."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_row: bool = False) -> DataFrame:
+    """(doc_id, fp) per row; fp holds the 64 bits as a long. No shuffle. ``keep_row``
+    adds the whole input row as struct ``row``."""
     common.ship(docs.sparkSession)
+    cols = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")]
+    if keep_row:
+        cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    out = T.StructType().add("doc_id", "long").add("fp", "long")
+    if keep_row:
+        out.add("row", docs.schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([simhash(t) for t in b["text"].to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            rest = [b["row"]] if keep_row else []
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fps.view(np.int64)), *rest], out.fieldNames())
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+    return docs.select(*cols).mapInArrow(run, out)
 
 
 def bit_groups(nodes: DataFrame, width: int = WIDTH) -> list[list[int]]:
@@ -225,19 +233,33 @@ def links(nodes: DataFrame) -> DataFrame:
             .select("a", "b").distinct())
 
 
+def grouped(nodes: DataFrame) -> DataFrame:
+    """(fp, root) for each distinct fingerprint; root is one of its component's."""
+    return (nodes.select("fp").join(components(links(nodes)).withColumnRenamed("node", "fp"), "fp", "left")
+            .select("fp", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) per row."""
     prints = common.written(fingerprints(docs, id_col, text_col), "simhash")
     nodes = common.written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
-    joined = components(links(nodes))
-    roots = joined.join(nodes.withColumnRenamed("fp", "node"), "node")
+    roots = common.written(grouped(nodes).join(nodes, "fp"), "simhash-roots")
     lowest = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    linked = joined.join(lowest, "root").select(F.col("node").alias("fp"), "component_id")
-    named = (nodes.join(linked, "fp", "left")
-             .select("fp", F.coalesce("component_id", "first").alias("component_id")))
+    named = roots.join(lowest, "root").select("fp", "component_id")
     return (prints.join(named, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one of each component: that of the smallest doc_id (null
+    last), of rows with the same id the first read."""
+    rows = common.written(fingerprints(docs, id_col, text_col, keep_row=True)
+                          .withColumn("at", F.monotonically_increasing_id()), "simhash-rows")
+    roots = common.written(grouped(rows.select("fp").distinct()), "simhash-roots")
+    keep = (rows.select("fp", "doc_id", "at").join(roots, "fp").groupBy("root")
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "at")).alias("m")).select(F.col("m.at").alias("at")))
+    return rows.join(keep, "at", "left_semi").select("row.*")
+
+
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
