@@ -10,9 +10,8 @@ bigrams with the templates' (a fixed list, so its broadcast is bounded).
 
 Defined results: null and empty texts, and units of fewer than two words, match nothing;
 documents without a match have null licence columns and n_matches 0; of a document's
-matches the best is the highest Dice, then the licence's name, then the first unit; rows
-that share an id (or have none) are scanned as one document, each row getting its result;
-other columns are ignored."""
+matches the best is the highest Dice, then the licence's name, then the first unit;
+repeated rows and null ids each get their row; other columns are ignored."""
 
 from __future__ import annotations
 
@@ -22,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+#: A word that no normalised text has.
+ITSELF = "\x00"
 
 # Notices as their licences ask for them: name, kind, text.
 TEMPLATES = [
@@ -70,23 +71,32 @@ def bounds(n: int, threshold: float) -> tuple[float, float]:
 
 
 def units(docs: DataFrame, id_col: str, text_col: str, possible) -> DataFrame:
-    """(doc_id, unit, bigrams) of the units whose number of distinct bigrams is
-    ``possible``: lines, then paragraphs of several lines, by place."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    """(at, doc_id, unit, n, bigram): the distinct bigrams of each unit whose number ``n`` of
+    them is ``possible``; units are lines, then paragraphs of several lines. Unit -1 with
+    the bigram ``ITSELF`` stands for the row; ``at`` tells rows apart."""
+    docs = docs.select(F.monotonically_increasing_id().alias("at"), F.col(id_col).cast("long").alias("doc_id"),
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    text = F.col("text")
     parts = F.concat(F.split(text, "\n"), F.filter(F.split(text, "\n[ \t]*\n"), lambda p: F.contains(p, F.lit("\n"))))
     words = F.transform(parts, lambda p: F.split(F.trim(F.regexp_replace(F.lower(p), r"[^\p{L}\p{N}]+", " ")), " "))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(words).alias("unit", "words")).where(F.size("words") >= 2)
+    rows = docs.select("at", "doc_id", F.posexplode(F.concat(words, F.array(F.array(F.lit(ITSELF))))).alias("place", "words"))
+    itself = F.get("words", F.lit(0)) == ITSELF
     bigrams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("words") - 1),
                                            lambda i: F.concat_ws(" ", F.get("words", i - 1), F.get("words", i))))
+    bigrams = F.when(itself, F.col("words")).when(F.size("words") >= 2, bigrams)
     # exploding an array of none or one keeps the bigrams from being computed again for each use
-    return rows.select("doc_id", "unit", F.explode(F.filter(F.array(bigrams), lambda b: possible(F.size(b)))).alias("bigrams"))
+    kept = F.filter(F.array(bigrams), lambda b: possible(F.size(b)) | itself)
+    rows = rows.select("at", "doc_id", F.when(itself, -1).otherwise(F.col("place")).alias("unit"), F.explode(kept).alias("bigrams"))
+    return rows.select("at", "doc_id", "unit", F.size("bigrams").alias("n"), F.explode("bigrams").alias("bigram"))
 
 
-def matches(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, unit, license, kind, dice) for every unit and template at or above the threshold."""
+def compared(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> DataFrame:
+    """(at, doc_id, unit, license, kind, dice) of units and templates that share a bigram,
+    and one row of unit -1 and null Dice for each input row."""
     spark = docs.sparkSession
     known = [(t, name, kind, b, len(bigrams), *bounds(len(bigrams), threshold))
              for t, (name, kind, bigrams) in enumerate(templates()) for b in bigrams]
+    known.append((-1, None, None, ITSELF, 0, 0.0, 1.0))
     table = spark.createDataFrame(known, "template int, license string, kind string, bigram string, size int, low double, high double")
     sizes = sorted({bounds(len(b), threshold) for _, _, b in templates()})
 
@@ -96,23 +106,26 @@ def matches(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id
             found = found | ((n >= low) & (n <= high))
         return found
 
-    some = (units(docs, id_col, text_col, possible)
-            .select("doc_id", "unit", F.size("bigrams").alias("n"), F.explode("bigrams").alias("bigram")))
-    shared = (some.join(F.broadcast(table), "bigram").where((F.col("n") >= F.col("low")) & (F.col("n") <= F.col("high")))
-              .groupBy("doc_id", "unit", "template", "license", "kind", "n", "size").agg(F.count("*").alias("shared")))
-    dice = 2.0 * F.col("shared") / (F.col("n") + F.col("size"))
-    return shared.select("doc_id", "unit", "license", "kind", dice.alias("dice")).where(F.col("dice") >= threshold)
+    shared = (units(docs, id_col, text_col, possible).join(F.broadcast(table), "bigram")
+              .where((F.col("n") >= F.col("low")) & (F.col("n") <= F.col("high")))
+              .groupBy("at", "doc_id", "unit", "template", "license", "kind", "n", "size").agg(F.count("*").alias("shared")))
+    dice = F.when(F.col("unit") >= 0, 2.0 * F.col("shared") / (F.col("n") + F.col("size")))
+    return shared.select("at", "doc_id", "unit", "license", "kind", dice.alias("dice"))
+
+
+def matches(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, unit, license, kind, dice) for every unit and template at or above the threshold."""
+    return compared(docs, threshold, id_col, text_col).where(F.col("dice") >= threshold).drop("at")
 
 
 def scan(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, license, kind, dice, unit, n_matches) per row: the best match of each document."""
-    best = (matches(docs, threshold, id_col, text_col).groupBy("doc_id")
-            .agg(F.min(F.struct((-F.col("dice")).alias("less"), "license", "unit", "kind")).alias("b"), F.count("*").alias("n_matches"))
-            .withColumnRenamed("doc_id", "found"))
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
-    return (ids.join(best, F.col("doc_id").eqNullSafe(F.col("found")) & F.col("b").isNotNull(), "left")
-            .select("doc_id", F.col("b.license").alias("license"), F.col("b.kind").alias("kind"), (-F.col("b.less")).alias("dice"),
-                    F.col("b.unit").alias("unit"), F.coalesce("n_matches", F.lit(0).cast("long")).alias("n_matches")))
+    found = F.col("dice") >= threshold
+    best = compared(docs, threshold, id_col, text_col).groupBy("at", "doc_id").agg(
+        F.min(F.when(found, F.struct((-F.col("dice")).alias("less"), "license", "unit", "kind"))).alias("b"),
+        F.count(F.when(found, 1)).alias("n_matches"))
+    return best.select("doc_id", F.col("b.license").alias("license"), F.col("b.kind").alias("kind"), (-F.col("b.less")).alias("dice"),
+                       F.col("b.unit").alias("unit"), "n_matches")
 
 
 def op4_license_scan(spark, sf_dir: str) -> DataFrame:

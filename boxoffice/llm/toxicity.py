@@ -7,8 +7,8 @@ negative drift. One linear scan per text finds every maximal scoring segment. Se
 of chance follow an extreme-value law: in clean text of n tokens about
 K n exp(-lambda S) of them reach a score of S. lambda solves the law's equation for the
 token scores of clean documents, K is fitted to their best segments, and the evidence of
-a document is the sum of lambda S - ln(K n) over its significant segments (the best one,
-if none is). A logistic curve turns evidence into a probability; it is fitted on labelled
+a document is the sum of lambda S - ln(K n) over its significant segments, those for
+which this is above 0 (ln(K n) taken as 0 at least). A logistic curve turns evidence into a probability; it is fitted on labelled
 documents that the token scores have not seen.
 
 Only labelled documents whose crc32(doc_id) mod 5 is not 0 are learned from: 1 to 3 give
@@ -16,8 +16,7 @@ token scores, 4 gives the calibration, at most ``MAX_TRAIN`` of each class and p
 with the smallest hashes of their ids); the model has at most ``MAX_TOKENS`` tokens. Every
 text is scored whole, and from its text alone.
 
-Defined results: null, empty and word-less texts have no segment and score as clean text
-of one token; repeated rows each get their row; a null id counts as the empty text for
+Defined results: null, empty and word-less texts have no segment, so no evidence; repeated rows each get their row; a null id counts as the empty text for
 its fold; documents with several labels count as toxic if any says so; without toxic or
 without clean labels every score is the share of toxic labels (0 without labels); other
 columns are passed on in ``row`` or ignored."""
@@ -63,9 +62,8 @@ class Model:
     base: float  # share of toxic labels
 
     def evidence(self, n: int, segments: list[tuple[int, int, float]]) -> float:
-        chance = math.log(self.k * max(1, n))
-        each = [self.lam * s - chance for _, _, s in segments] or [-chance]
-        return sum(e for e in each if e > 0) or max(each)
+        chance = max(0.0, math.log(self.k * max(1, n)))
+        return sum(max(0.0, self.lam * s - chance) for _, _, s in segments)
 
     def probability(self, evidence: float) -> float:
         z = self.slope * evidence + self.bias
@@ -231,7 +229,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),
                         T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     if passages:
-        out.add("passages", "array<struct<first:long,end:long,score:double>>")
+        out.add("passages", T.ArrayType(T.StructType().add("first", "long").add("end", "long").add("score", "double")))
     if keep_row:
         out.add(rows.schema["row"])
 
@@ -243,7 +241,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 found = segments(words, model.scores)
                 p.append(model.probability(model.evidence(len(words), found)))
                 if passages:
-                    chance = math.log(model.k * max(1, len(words)))
+                    chance = max(0.0, math.log(model.k * max(1, len(words))))
                     where.append([{"first": a, "end": e, "score": s} for a, e, s in found if model.lam * s > chance])
             columns = [b["doc_id"], b["held_out"], pa.array(p, pa.float64()), pa.array([int(x >= 0.5) for x in p], pa.int32())]
             if passages:
