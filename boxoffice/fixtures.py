@@ -187,7 +187,7 @@ def f_csv_sale(spark, sf_dir) -> DataFrame:
     file_day = F.when(F.abs(file_res) % 10 == 9, F.date_sub(F.lit(FILE_RUN_DATE), 1)) \
         .otherwise(F.lit(FILE_RUN_DATE))
     return s.select(
-        F.col("TransId").cast("int").alias("Transaction ID"),
+        F.col("TransId").cast("bigint").alias("Transaction ID"),
         F.col("eventName").alias("Event name"),
         F.col("tickets").alias("Number of purchased tickets"),
         F.col("amount").alias("Total amount"),
@@ -208,7 +208,7 @@ def f_xml_sale(spark, sf_dir) -> DataFrame:
     return s.select(
         F.struct(F.date_format(F.lit(FILE_RUN_DATE), "yyyy-MM-dd").alias("date"),
                  F.col("reseller_id").cast("string").alias("reseller-id")).alias("transaction"),
-        F.col("TransId").cast("int").alias("tranactionId"),
+        F.col("TransId").cast("bigint").alias("tranactionId"),
         "eventName",
         F.col("tickets").alias("numberOfPurchasedTickets"),
         F.col("amount").alias("totalAmount"),

@@ -28,6 +28,18 @@ def tag_insert_update(df: DataFrame, update="UpdateDate", col="branch") -> DataF
     return df.withColumn(col, F.when(F.col(update).isNull(), F.lit("insert")).otherwise(F.lit("update")))
 
 
+def created_on_load_day(create="CreateDate", update="UpdateDate", load="load_date") -> Column:
+    """Staged versions that bring a new row: never updated, or updated on the
+    very day they were created on (the pull then sees only the updated state)."""
+    return F.col(update).isNull() | (F.col(create) == F.col(load))
+
+
+def first_per_key(df: DataFrame, key: str, load="load_date") -> DataFrame:
+    """The row of the earliest load day of each key; ``df`` has one per day."""
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return df.groupBy(F.col(key).alias("_k")).agg(F.min_by(row, F.col(load)).alias("_r")).select("_r.*")
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """A-3: one row per key, repeatably: the row that is greatest by ``order``
     and then by every other column (NULL ranks lowest).
@@ -61,11 +73,9 @@ def scd1_update(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     (see ``latest_per_key``). A match flag, not ``coalesce``, decides, so an
     update to NULL is applied. ``target_match`` restricts which target rows may
     match (``sold_by = 'platfrom'``)."""
-    from boxoffice.operators.lookups import bounded_broadcast
     keys = list(keys)
-    u = bounded_broadcast(updates.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                                         *[F.col(c).alias(f"_n_{c}") for c in set_cols],
-                                         F.lit(True).alias("_matched")))
+    u = updates.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
+                       *[F.col(c).alias(f"_n_{c}") for c in set_cols], F.lit(True).alias("_matched"))
     cond = [target[k] == u[f"_k_{k}"] for k in keys]
     if target_match is not None:
         cond.append(target_match)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxoffice.functions.columns import cidr_bounds, ipv4_to_long
-from boxoffice.operators.lookups import bounded_broadcast
 
 BUCKET_BITS = 16
 
@@ -40,7 +39,7 @@ def ip_range_lookup(df: DataFrame, ip_col: str, blocks: DataFrame, payload: list
     """
     ranges = block_ranges(blocks, network_col).select(
         F.col("_bucket").alias("_rb"), "ip_start", "ip_end", *payload)
-    ranges = bounded_broadcast(ranges)
+
     ip = ipv4_to_long(ip_col)
     if not nested:
         addr = df.select("*", ip.alias("_ip")).withColumn("_bucket", F.shiftright("_ip", BUCKET_BITS))

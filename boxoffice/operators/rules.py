@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from boxoffice.functions.columns import flag
 from boxoffice.operators.changes import scd1_update
-from boxoffice.operators.lookups import bounded_broadcast, one_per_key
+from boxoffice.operators.lookups import one_per_key
 from boxoffice.sources.files import FEED_COLUMNS
 
 # Error comments written to the quarantine table (fixed values of the format).
@@ -28,8 +28,7 @@ def rule_flags(feed: DataFrame, events: DataFrame, locations: DataFrame, run_dat
                resellers: DataFrame | None = None) -> DataFrame:
     """V-5 / J-8: every feed row with one 0/1 flag per rule.
 
-    Lookups are LEFT joins to lookups reduced to one row per key, broadcast
-    when their size is proven small; a NULL anywhere in a rule counts as failed.
+    Lookups are LEFT joins to lookups reduced to one row per key; a NULL anywhere in a rule counts as failed.
     ``events`` is (EventName, TicketCost, CreateDate), ``locations`` (LocName),
     ``resellers`` (ResellerId), all current versions.
     """
@@ -37,15 +36,15 @@ def rule_flags(feed: DataFrame, events: DataFrame, locations: DataFrame, run_dat
         F.col("EventName").alias("_ev_name"), F.col("TicketCost").alias("_ev_cost"),
         F.col("CreateDate").alias("_ev_created"))
     loc = locations.select(F.col("LocName").alias("_loc_name")).distinct()
-    j = (feed.join(bounded_broadcast(ev), feed["eventName"] == F.col("_ev_name"), "left")
-         .join(bounded_broadcast(loc), feed["officeLoc"] == F.col("_loc_name"), "left"))
+    j = (feed.join(ev, feed["eventName"] == F.col("_ev_name"), "left")
+         .join(loc, feed["officeLoc"] == F.col("_loc_name"), "left"))
     flags = [
         flag(F.col("_ev_name").isNotNull()).alias("event_ok"),
         flag(F.col("_loc_name").isNotNull()).alias("location_ok"),
     ]
     if resellers is not None:
         res = resellers.select(F.col("ResellerId").alias("_res_id")).distinct()
-        j = j.join(bounded_broadcast(res), feed["reseller_id"].cast("bigint") == F.col("_res_id"), "left")
+        j = j.join(res, feed["reseller_id"].cast("bigint") == F.col("_res_id"), "left")
         flags.append(flag(F.col("_res_id").isNotNull()).alias("reseller_ok"))
     flags += [
         flag(F.col("Amount") == F.col("Purchased_ticket") * F.col("_ev_cost")).alias("valid_ticket"),

@@ -126,14 +126,14 @@ from f_sale where feed = 'N'""")
         q.add("csv_file_day", f"""select *, coalesce(reseller_id, l_suppkey) file_res,
   case when abs(coalesce(reseller_id, l_suppkey)) % 10 = 9 then {LATE} else {RUN} end file_day
 from f_file_sale where feed = 'A'""")
-        return q.add(name, """select cast(TransId as integer) transID, eventName, tickets Purchased_ticket, amount Amount,
+        return q.add(name, """select cast(TransId as bigint) transID, eventName, tickets Purchased_ticket, amount Amount,
   channel, FirstName custFirstName, LastName custLastName, officeLoc, createDate,
   'DailySales_' || strftime(file_day, '%m%d') || '0' || strftime(file_day, '%y') || '_'
     || cast(file_res as varchar) || '.csv' source_file
 from csv_file_day""")
     if name == "xml_feed":
         base(q, "f_file_sale")
-        return q.add(name, """select cast(TransId as integer) transID, eventName, tickets Purchased_ticket, amount Amount,
+        return q.add(name, """select cast(TransId as bigint) transID, eventName, tickets Purchased_ticket, amount Amount,
   channel, FirstName custFirstName, LastName custLastName, officeLoc, createDate,
   cast(reseller_id as varchar) reseller_id
 from f_file_sale where feed = 'R'""")
@@ -254,7 +254,7 @@ def dim(q: Q, name: str) -> str:
         return (f"select {', '.join(src_cols + sel)}, v.load_date from {pd} v "
                 + " ".join(joins) + f" where {where}")
 
-    ins = q.add(f"ins_{name}", enrich("v.UpdateDate is null", "left join"))
+    ins = q.add(f"ins_{name}", enrich("v.UpdateDate is null or v.CreateDate = v.load_date", "left join"))
     upd = q.add(f"upd_{name}", enrich("v.UpdateDate is not null", upd_join))
     out_cols = list(cmap) + ["createDt_id", "UpdateDt_id"] + list(extra.values())
     keyed = q.add(f"keyed_{name}", f"""select row_number() over (order by load_date NULLS FIRST, {dkey} NULLS FIRST) row_wid,
@@ -268,7 +268,7 @@ def dim(q: Q, name: str) -> str:
 
 # ------------------------------------------------------------------ facts
 
-def fact_platform(q: Q, unknown_member: bool = False) -> str:
+def fact_platform(q: Q, unknown_member: bool = True) -> str:
     st = versions(q, "f_platform_transaction")
     cal = base(q, "cal")
     for d in ("event", "customer", "venue", "location", "reseller"):
@@ -292,7 +292,7 @@ from {pd} v join {cal} c on v.CreateDate = c.date_actual left join {cal} u on v.
   {how} {com} m on e.src_event_id = m.EvntId and v.Reseller_id = m.ResId
   {how} dim_reseller r on v.Reseller_id = r.src_res_id
 where {where}"""
-    ins = q.add(f"txins_{tag}", enrich("v.UpdateDate is null"))
+    ins = q.add(f"txins_{tag}", enrich("v.UpdateDate is null or v.CreateDate = v.load_date"))
     upd = q.add(f"txupd_{tag}", enrich("v.UpdateDate is not null"))
     cols = ["createDt_id", "UpdateDt_id", "event_id", "venue_id", "customer_id", "reseller_id", "sold_by",
             "tickets_sold", "total_amount", "del_flg", "BatchId", "OfficeLocId", "Channel", "commission"]
@@ -494,7 +494,7 @@ def _sql() -> dict[str, str]:
 
     q = Q()
     f = base(q, "f_file_sale")
-    out["xml_sales_scan"] = q.sql(f"""select cast(TransId as integer) tranactionId, eventName,
+    out["xml_sales_scan"] = q.sql(f"""select cast(TransId as bigint) tranactionId, eventName,
   tickets numberOfPurchasedTickets, amount totalAmount, channel salesChannel, officeLoc officeLocation,
   createDate dateCreated, '2000-01-01' transaction_date, cast(reseller_id as varchar) transaction_reseller_id,
   FirstName customer_first_name, LastName customer_last_name from {f} where feed = 'R'""")
@@ -518,7 +518,7 @@ def _sql() -> dict[str, str]:
     out["staging_append_roundtrip"] = q.sql(f"select * from {versions(q, 'f_customer')}")
 
     q = Q()
-    out["jdbc_export_roundtrip"] = q.sql(f"select * from {dim(q, 'reseller')}")
+    out["warehouse_append"] = q.sql(f"select * from {dim(q, 'reseller')}")
 
     def resync(q):
         c = current(q, "f_customer")
@@ -542,18 +542,22 @@ select (select max(row_wid) from {d}) + row_number() over (order by Src_cust_id
   Src_cust_id, Fname, Lname, Pmail, PhoneNo, createDt_id, UpdateDt_id
 from {r} where Src_cust_id not in (select Src_cust_id from {d})""")
 
-    q = Q()
-    feed = base(q, "csv_feed")
-    fl = flags(q, feed, RUN, False)
-    err = q.add("errors", quarantine_sql(q, fl, RUN, False))
-    cand = q.add("cand", f"select * from {feed} where transID in (select transID from {err} where reprocessed = 'N')")
-    fl2 = flags(q, feed, REPROCESS, False, src=cand)
-    out["mark_reprocessed"] = q.sql(f"""select e.transID, e.comment,
+    for kind, xml in (("csv", False), ("xml", True)):
+        q = Q()
+        feed = base(q, f"{kind}_feed")
+        fl = flags(q, feed, RUN, xml)
+        err = q.add("errors", quarantine_sql(q, fl, RUN, xml))
+        cand = q.add("cand", f"select * from {feed} where transID in (select transID from {err} where reprocessed = 'N')")
+        fl2 = flags(q, feed, REPROCESS, xml, src=cand)
+        out["mark_reprocessed" + "_xml" * xml] = q.sql(f"""select e.transID, e.comment,
   case when c.transID is not null and e.reprocessed = 'N' then 'Y' else e.reprocessed end reprocessed,
   e.createDt, case when c.transID is not null and e.reprocessed = 'N' then {REPROCESS} else e.updateDt end updateDt
 from {err} e left join (select distinct transID from {cand}) c on e.transID = c.transID
 union all
-{quarantine_sql(q, fl2, REPROCESS, False)}""")
+{quarantine_sql(q, fl2, REPROCESS, xml)}""")
+        res = "reseller_id" if xml else "regexp_extract(source_file, 'DailySales_\\d{2}\\d{2}\\d\\d{2}_(-?\\d+)\\.csv', 1)"
+        out[f"reprocess_staged_{kind}"] = q.sql(f"""select {', '.join(FEED9)}, cast({res} as bigint) Reseller_id,
+  {REPROCESS} load_date, {did(REPROCESS)} BatchId from ({valid(fl2, ["reseller_id" if xml else "source_file"], xml)}) x""")
 
     q = Q()
     fa = fact_all(q)
@@ -585,7 +589,15 @@ union all
     q = Q()
     out["fact_platform_load"] = q.sql(f"select * from {fact_platform(q)}")
     q = Q()
-    out["fact_unknown_member"] = q.sql(f"select * from {fact_platform(q, unknown_member=True)}")
+    out["fact_unknown_member"] = q.sql(f"select * from {fact_platform(q)} where reseller_id = 1 and commission = 0")
+    q = Q()
+    out["fact_platform_inner"] = q.sql(f"select * from {fact_platform(q, unknown_member=False)}")
+    q = Q()
+    out["fact_same_day_update"] = q.sql(f"select * from {fact_platform(q)} where createDt_id = UpdateDt_id")
+    q = Q()
+    out["fact_rerun_day"] = q.sql(f"select {', '.join(FACT_COLS)} from {fact_platform(q)}")
+    q = Q()
+    out["dim_rerun_day"] = q.sql(f"select * from {dim(q, 'customer')}")
     q = Q()
     out["fact_csv_load"] = q.sql(f"select * from {fact_file(q, 'csv')}")
     q = Q()
@@ -677,18 +689,42 @@ from (select file_name,
         f"select * from {feed} where transID in (select transID from {err} where reprocessed = 'N')")
 
     q = Q()
-    st = versions(q, "f_customer")
-    out["reconcile_staging"] = q.sql(f"""select {did('load_date')} date_dim_id, count(distinct CustId) src_cnt,
-  count(distinct CustId) dst_cnt, true ok from {st} group by 1""")
+    entities = {"customer": "f_customer", "event": "f_event", "location": "f_location", "reseller": "f_reseller",
+                "venue": "f_venue", "commission": "f_commission", "transaction": "f_platform_transaction"}
+    out["reconcile_staging"] = q.sql("\nunion all\n".join([f"""select {did('load_date')} date_dim_id,
+  count(distinct ({', '.join(ENTITY_KEYS[e])})) src_cnt, count(distinct ({', '.join(ENTITY_KEYS[e])})) dst_cnt, true ok, '{n}' entity
+from {versions(q, e)} group by 1""" for n, e in entities.items()]))
 
-    q = Q()
-    feed = base(q, "csv_feed")
-    fl = flags(q, feed, RUN, False)
-    err = q.add("errors", quarantine_sql(q, fl, RUN, False))
-    out["reconcile_file"] = q.sql(f"""select src_cnt, staged_cnt, quarantined_cnt, src_cnt = staged_cnt + quarantined_cnt ok
+    parts, q = [], Q()
+    for kind, xml in (("csv", False), ("xml", True)):
+        feed = base(q, f"{kind}_feed")
+        fl = flags(q, feed, RUN, xml)
+        err = q.add(f"errors_{kind}", quarantine_sql(q, fl, RUN, xml))
+        ok = f"({valid(fl, [], xml)})"
+        parts.append(f"""select *, src_cnt = handled_cnt and missing = 0 ok, '{kind}' feed
 from (select (select count(distinct transID) from {feed}) src_cnt,
-             (select count(distinct transID) from ({valid(fl, [], False)}) v) staged_cnt,
-             (select count(distinct transID) from {err}) quarantined_cnt) x""")
+             (select count(distinct transID) from {ok} v) staged_cnt,
+             (select count(distinct transID) from {err}) quarantined_cnt,
+             (select count(distinct transID) from (select transID from {ok} v union all select transID from {err}) h) handled_cnt,
+             (select count(distinct transID) from {feed} where transID not in (select transID from {ok} v)
+                and transID not in (select transID from {err})) missing) x""")
+    out["reconcile_file"] = q.sql("\nunion all\n".join(parts))
+
+    out["column_presence"] = " union all ".join(
+        f"select '{n}' column_name, 0::bigint n_missing, 0::bigint n_misplaced, true ok" for n in (
+            "Transaction ID", "Event name", "Number of purchased tickets", "Total amount",
+            "Sales channel(office,web,mobile web)", "Customer first name", "Customer last name", "Office Location", "Created_date"))
+
+    q = Q()
+    fa = fact_all(q)
+    both = "\nunion all\n".join(
+        f"select '{sold}' sold_by, BatchId, transID id, 1 side from {staged_file(q, kind)}"
+        for kind, sold in (("csv", "Csv_3rdparthy_platfrom"), ("xml", "Xml_3rdparty_platfrom")))
+    out["reconcile_dwh_files"] = q.sql(f"""select sold_by, BatchId, count(*) filter (s) src_cnt, count(*) filter (d) dst_cnt,
+  count(*) filter (not d) missing, count(*) filter (s) = count(*) filter (d) and count(*) filter (not d) = 0 ok
+from (select sold_by, BatchId, id, bool_or(side = 1) s, bool_or(side = 2) d
+      from ({both} union all select sold_by, BatchId, src_trans_id, 2 from {fa}) t group by 1, 2, 3) u
+group by 1, 2 having count(*) filter (s) > 0""")
 
     def per_day(src_sql: str, dst_sql: str, group: str = "") -> str:
         g = f"{group}, " if group else ""
@@ -699,14 +735,16 @@ from (select (select count(distinct transID) from {feed}) src_cnt,
 from ({src_sql}) s full outer join ({dst_sql}) d on s.date_dim_id = d.date_dim_id{on}"""
 
     q = Q()
-    st = versions(q, "f_customer")
-    dc = dim(q, "customer")
-    out["reconcile_dwh"] = q.sql(per_day(
-        f"select {did('load_date')} date_dim_id, count(distinct CustId) n from {st} group by 1",
-        f"""select date_dim_id, count(*) n from (
+    parts = []
+    for n, (ent, key, *_) in DIMS.items():
+        st, dc = versions(q, ent), dim(q, n)
+        parts.append("select *, '" + n + "' entity from (" + per_day(
+            f"select {did('load_date')} date_dim_id, count(distinct {key}) n from {st} group by 1",
+            f"""select date_dim_id, count(*) n from (
   select createDt_id date_dim_id from {dc} where createDt_id is not null
   union all select UpdateDt_id from {dc} where UpdateDt_id is not null
-    and (createDt_id is null or UpdateDt_id <> createDt_id)) x group by 1"""))
+    and (createDt_id is null or UpdateDt_id <> createDt_id)) x group by 1""") + ") y")
+    out["reconcile_dwh"] = q.sql("\nunion all\n".join(parts))
 
     q = Q()
     st = versions(q, "f_platform_transaction")

@@ -10,9 +10,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxoffice.operators.changes import insert_update_split, latest_per_key, scd1_update
+from boxoffice.operators.changes import (created_on_load_day, first_per_key, insert_update_split,
+                                         latest_per_key, scd1_update)
 from boxoffice.operators.keys import next_key_start, surrogate_key
-from boxoffice.operators.lookups import bounded_broadcast, date_role
+from boxoffice.operators.lookups import date_role
 from boxoffice.sources.tables import LOAD_COL
 
 
@@ -47,14 +48,20 @@ def load_dimension(staged: DataFrame, calendar: DataFrame, spec: DimSpec,
     """Load the staged days of a dimension.
 
     * per day, one version per key (A-3);
-    * versions never updated are inserts: calendar ids (create INNER, update
-      LEFT), surrogate keys in (load day, key) order after the existing ones;
+    * versions created on their load day, updated since or not, are inserts if
+      the table lacks the key, so a rerun of a day adds nothing: calendar ids
+      (create INNER, update LEFT), surrogate keys in (load day, key) order
+      after the existing ones;
     * updated versions overwrite ``set_cols`` of the row with the same key,
       the last day's update winning; a key not in the table is not inserted
       (type-1 update, K-4).
     """
     per_day = latest_per_key(staged, [spec.key, LOAD_COL], ["UpdateDate", "CreateDate"])
-    ins, upd = insert_update_split(per_day)
+    upd = insert_update_split(per_day)[1]
+    ins = first_per_key(per_day.filter(created_on_load_day()), spec.key)
+    if existing is not None:
+        known = existing.select(F.col(spec.dwh_key).alias("_known"))
+        ins = ins.join(known, F.col(spec.key) == F.col("_known"), "left_anti")
     ctx = context or {}
 
     def enrich(df: DataFrame, update_how: str) -> DataFrame:
@@ -96,10 +103,10 @@ LOCATION = DimSpec(
 
 def _event_lookups(df: DataFrame, ctx: dict) -> DataFrame:
     """J-2: location and venue surrogate keys, LEFT."""
-    loc = bounded_broadcast(ctx["location"].select(F.col("src_loc_id").alias("_lk"),
-                                                   F.col("row_wid").alias("LocKey")))
-    vnu = bounded_broadcast(ctx["venue"].select(F.col("src_Venue_id").alias("_vk"),
-                                                F.col("row_wid").alias("VenueKey")))
+    loc = ctx["location"].select(F.col("src_loc_id").alias("_lk"),
+                                                   F.col("row_wid").alias("LocKey"))
+    vnu = ctx["venue"].select(F.col("src_Venue_id").alias("_vk"),
+                                                F.col("row_wid").alias("VenueKey"))
     return (df.join(loc, df["LocId"] == loc["_lk"], "left")
             .join(vnu, df["VenueId"] == vnu["_vk"], "left"))
 

@@ -141,3 +141,29 @@ def staged_xml(ws: Workspace) -> DataFrame:
 def csv_errors(ws: Workspace) -> DataFrame:
     """Quarantine table of the CSV feed after the file run date."""
     return ws.parquet("errors/csv", lambda: rules.quarantine(csv_flags(ws), fx.FILE_RUN_DATE))
+
+
+def xml_errors(ws: Workspace) -> DataFrame:
+    """Quarantine table of the XML feed after the file run date."""
+    return ws.parquet("errors/xml", lambda: rules.quarantine(xml_flags(ws), fx.FILE_RUN_DATE))
+
+
+def reprocessed(ws: Workspace, kind: str, run_date: dt.date = fx.REPROCESS_DATE) -> tuple[DataFrame, DataFrame]:
+    """J-7 for a whole feed: rows rejected before and not yet reprocessed, checked
+    again on ``run_date``: what now passes, as staged, and the new error table."""
+    feed, errors = (csv_feed(ws), csv_errors(ws)) if kind == "csv" else (xml_feed(ws), xml_errors(ws))
+    ev, loc, res = lookups(ws)
+    return reprocess(feed, errors, ev, loc, res if kind == "xml" else None, run_date)
+
+
+def reprocess(feed: DataFrame, errors: DataFrame, events: DataFrame, locations: DataFrame,
+              resellers: DataFrame | None, run_date: dt.date) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``feed`` to stage for ``run_date``, and the error table with the
+    rows' open errors closed and their renewed failures added. XML feeds carry
+    their reseller and are checked against ``resellers``; CSV feeds are named
+    after theirs."""
+    candidates = rules.reprocess_candidates(feed, errors)
+    again = rules.rule_flags(candidates, events, locations, run_date, resellers=resellers)
+    staged = _stage_valid_csv(again, run_date) if resellers is None else _stage_valid_xml(again, run_date)
+    marked = rules.mark_reprocessed(errors, candidates, run_date)
+    return staged, marked.unionByName(rules.quarantine(again, run_date), allowMissingColumns=True)

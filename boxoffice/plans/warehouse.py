@@ -37,13 +37,13 @@ def dim(ws: Workspace, name: str) -> DataFrame:
     return ws.parquet(f"dwh/{name}", lambda: build_dim(ws, name))
 
 
-_DIMS: dict[tuple[int, str], factplans.Dims] = {}
+_DIMS: dict[tuple[str, str], factplans.Dims] = {}
 
 
 def fact_dims(ws: Workspace) -> factplans.Dims:
     """Lookups for the fact loads. The tables behind them are written once,
     so the size-checked set is built once per session and shared."""
-    key = (id(ws.spark), ws.root)
+    key = (ws.spark.sparkContext.applicationId, ws.root)
     if key not in _DIMS:
         _DIMS[key] = factplans.Dims(event=dim(ws, "event"), customer=dim(ws, "customer"), venue=dim(ws, "venue"),
                                     location=dim(ws, "location"), reseller=dim(ws, "reseller"),
@@ -51,7 +51,7 @@ def fact_dims(ws: Workspace) -> factplans.Dims:
     return _DIMS[key]
 
 
-def platform_fact(ws: Workspace, unknown_member: bool = False) -> DataFrame:
+def platform_fact(ws: Workspace, unknown_member: bool = True) -> DataFrame:
     return factplans.load_platform_fact(stg.staged(ws, "transaction"), fact_dims(ws), unknown_member)
 
 

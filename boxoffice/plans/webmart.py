@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from boxoffice.functions.columns import business_key, same_day
 from boxoffice.operators.checks import assert_gate, duplicate_lookup_keys
 from boxoffice.operators.keys import surrogate_key
-from boxoffice.operators.lookups import bounded_broadcast
 from boxoffice.operators.rangejoin import ip_range_lookup
 
 SELLER, SUPPLIER = "Seller", "Supplier"
@@ -87,10 +86,10 @@ def order_lines(orders: DataFrame, items: DataFrame, customers: DataFrame, compa
     slp = seller_products.select(F.col("prod_id").alias("slp_prod_id"))
     seller = F.col("order_src_type") == SELLER
     supplier = F.col("order_src_type") == SUPPLIER
-    j = j.join(bounded_broadcast(c), (F.col("customer_id") == F.col("_c_id")) & seller, "left")
-    j = j.join(bounded_broadcast(cp), (F.col("customer_id") == F.col("_cp_id")) & supplier, "left")
-    j = j.join(bounded_broadcast(sp), (F.col("item_id") == F.col("sp_prod_id")) & supplier, "left")
-    j = j.join(bounded_broadcast(slp), (F.col("item_id") == F.col("slp_prod_id")) & seller, "left")
+    j = j.join(c, (F.col("customer_id") == F.col("_c_id")) & seller, "left")
+    j = j.join(cp, (F.col("customer_id") == F.col("_cp_id")) & supplier, "left")
+    j = j.join(sp, (F.col("item_id") == F.col("sp_prod_id")) & supplier, "left")
+    j = j.join(slp, (F.col("item_id") == F.col("slp_prod_id")) & seller, "left")
     return j.drop("_c_id", "_cp_id")
 
 
@@ -116,10 +115,10 @@ def order_fact(lines: DataFrame, products: DataFrame, customers_dim: DataFrame,
         F.col("req_src_id").alias("_rq_src"), "req_key")
     j = lines.withColumn("_p_id", F.coalesce("sp_prod_id", "slp_prod_id")) \
         .withColumn("_rq_id", business_key(F.coalesce("c_name", "cp_name"), F.col("created_at")))
-    j = j.join(bounded_broadcast(p), j["_p_id"] == F.col("_p_src"), "left")
-    j = j.join(bounded_broadcast(cu), j["customer_id"] == F.col("_cu_src"), "left")
-    j = j.join(bounded_broadcast(co), j["customer_id"] == F.col("_co_src"), "left")
-    j = j.join(bounded_broadcast(rq), j["_rq_id"] == F.col("_rq_src"), "left")
+    j = j.join(p, j["_p_id"] == F.col("_p_src"), "left")
+    j = j.join(cu, j["customer_id"] == F.col("_cu_src"), "left")
+    j = j.join(co, j["customer_id"] == F.col("_co_src"), "left")
+    j = j.join(rq, j["_rq_id"] == F.col("_rq_src"), "left")
     rows = j.select(
         F.col("created_at").alias("order_date"), "product_key", "end_user_type",
         F.when(F.col("end_user_type") == CUSTOMER, F.col("customer_key"))

@@ -4,7 +4,6 @@ tables Spark derived from them)."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +13,12 @@ from boxoffice import fixtures as fx
 from boxoffice.functions.columns import date_id, same_day
 from boxoffice.operators import changes, checks, rules
 from boxoffice.operators.keys import next_key_start, surrogate_key
+from boxoffice.plans import dims as dimplans
 from boxoffice.plans import facts as factplans
 from boxoffice.plans import staging as stg
 from boxoffice.plans import warehouse as wh
 from boxoffice.plans import webmart as wm
-from boxoffice.sources import database, files
+from boxoffice.sources import files
 from boxoffice.sources.tables import LOAD_COL, read_table, staged_window, write_staging
 from boxoffice.workspace import Workspace
 
@@ -95,17 +95,15 @@ def staging_append_roundtrip(ws):
 
 
 @query
-def jdbc_export_roundtrip(ws):
-    """Append the reseller dimension to an in-process Derby table in two
-    batches, then read it back over JDBC."""
-    url = f"jdbc:derby:memory:bo{uuid.uuid4().hex[:12]};create=true"
-    opts = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+def warehouse_append(ws):
+    """K-2: append the reseller dimension to the shared warehouse table in two
+    batches; a batch is written to its own partition, so a retried task or a
+    repeated batch replaces rows instead of adding them twice."""
+    path = ws.path("roundtrip/dwh_reseller")
     d = wh.dim(ws, "reseller")
-    first = d.filter(F.col("row_wid") % 2 == 0)
-    second = d.filter(F.col("row_wid") % 2 == 1)
-    database.export_jdbc(first, url, "DIM_RESELLER", opts)
-    database.export_jdbc(second, url, "DIM_RESELLER", opts)
-    return database.read_jdbc(ws.spark, url, "DIM_RESELLER", opts)
+    for batch in (0, 1, 1):
+        write_staging(d.filter(F.col("row_wid") % 2 == batch).withColumn("batch", F.lit(batch)), path, "batch")
+    return read_table(ws.spark, path).drop("batch")
 
 
 def _customer_resync(ws) -> DataFrame:
@@ -142,12 +140,23 @@ def scd1_upsert(ws):
 def mark_reprocessed(ws):
     """Error table after a later run re-validates the open CSV errors: their
     errors are closed, renewed failures open new error rows."""
-    errors = stg.csv_errors(ws)
-    cand = rules.reprocess_candidates(stg.csv_feed(ws), errors)
-    ev, loc, _ = stg.lookups(ws)
-    again = rules.rule_flags(cand, ev, loc, fx.REPROCESS_DATE)
-    marked = rules.mark_reprocessed(errors, cand, fx.REPROCESS_DATE)
-    return marked.unionByName(rules.quarantine(again, fx.REPROCESS_DATE))
+    return stg.reprocessed(ws, "csv")[1]
+
+
+@query
+def mark_reprocessed_xml(ws):
+    return stg.reprocessed(ws, "xml")[1]
+
+
+@query
+def reprocess_staged_csv(ws):
+    """Rejected CSV rows that pass when checked again, as they are staged."""
+    return stg.reprocessed(ws, "csv")[0]
+
+
+@query
+def reprocess_staged_xml(ws):
+    return stg.reprocessed(ws, "xml")[0]
 
 
 @query
@@ -214,7 +223,37 @@ def fact_platform_load(ws):
 
 @query
 def fact_unknown_member(ws):
-    return wh.platform_fact(ws, unknown_member=True)
+    """J-6: sales without a known reseller have the unknown member's key."""
+    return wh.platform_fact(ws).filter((F.col("reseller_id") == factplans.UNKNOWN_RESELLER_KEY)
+                                       & (F.col("commission") == factplans.NO_COMMISSION))
+
+
+@query
+def fact_platform_inner(ws):
+    """The platform fact with INNER reseller and commission lookups, which leave
+    out sales without a known reseller."""
+    return wh.platform_fact(ws, unknown_member=False)
+
+
+@query
+def fact_same_day_update(ws):
+    """Sales created and updated on one load day are in the fact."""
+    return wh.platform_fact(ws).filter(F.col("createDt_id") == F.col("UpdateDt_id"))
+
+
+@query
+def fact_rerun_day(ws):
+    """Loading a day again leaves the platform fact as it was."""
+    day = stg.staged(ws, "transaction").filter(F.col(LOAD_COL) == F.lit(fx.CHANGE_DAY))
+    loaded = wh.fact_table(ws).filter(F.col("sold_by") == factplans.SOLD_BY_PLATFORM)
+    return factplans.load_platform_fact(day, wh.fact_dims(ws), existing=loaded)
+
+
+@query
+def dim_rerun_day(ws):
+    """Loading customer days again leaves the dimension as it was."""
+    staged = stg.staged(ws, "customer").filter(F.year(LOAD_COL) == 1996)
+    return dimplans.load_dimension(staged, wh.calendar(ws), dimplans.SPECS["customer"], existing=wh.dim(ws, "customer"))
 
 
 @query
@@ -281,6 +320,12 @@ def schema_conformance(ws):
     return checks.schema_conformance(raw, files.CSV_SCHEMA)
 
 
+@query
+def column_presence(ws):
+    return checks.column_presence(files.read_headers(ws.spark, stg.csv_feed_path(ws)), files.CSV_SCHEMA) \
+        .select("column_name", "n_missing", "n_misplaced", "ok")
+
+
 @query
 def file_name_gate(ws):
     paths = files.list_files(ws.spark, stg.csv_feed_path(ws), "*.csv")
@@ -312,22 +357,34 @@ def reprocess_candidates(ws):
     return rules.reprocess_candidates(stg.csv_feed(ws), stg.csv_errors(ws))
 
 
+def _union(parts):
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @query
 def reconcile_staging(ws):
-    src = stg.source_versions(ws, "customer")
-    dst = stg.staged(ws, "customer")
-    return checks.reconcile_days(src, date_id(LOAD_COL), dst, date_id(LOAD_COL), ["CustId"])
+    """V-7: every staged entity, every day."""
+    return _union([checks.reconcile_days(stg.source_versions(ws, e), date_id(LOAD_COL), stg.staged(ws, e), date_id(LOAD_COL), keys)
+                   .withColumn("entity", F.lit(e)) for e, (_, keys) in stg.ENTITIES.items()])
 
 
 @query
 def reconcile_file(ws):
-    return checks.reconcile_file(stg.csv_feed(ws), stg.staged_csv(ws), stg.csv_errors(ws))
+    """V-7: both feeds."""
+    return _union([checks.reconcile_file(feed(ws), staged(ws), errors(ws)).withColumn("feed", F.lit(kind))
+                   for kind, feed, staged, errors in (("csv", stg.csv_feed, stg.staged_csv, stg.csv_errors),
+                                                      ("xml", stg.xml_feed, stg.staged_xml, stg.xml_errors))])
 
 
 @query
 def reconcile_dwh(ws):
-    return checks.reconcile_per_day(stg.staged(ws, "customer"), date_id(LOAD_COL), ["CustId"],
-                                    wh.dim(ws, "customer"), ["createDt_id", "UpdateDt_id"])
+    """V-8: every dimension, every day."""
+    return _union([checks.reconcile_per_day(stg.staged(ws, e), date_id(LOAD_COL), [spec.key], wh.dim(ws, e),
+                                            ["createDt_id", "UpdateDt_id"]).withColumn("entity", F.lit(e))
+                   for e, spec in dimplans.SPECS.items()])
 
 
 @query
@@ -338,6 +395,15 @@ def reconcile_dwh_channel(ws):
                                     ["createDt_id", "UpdateDt_id"], group_cols=["sold_by"])
 
 
+@query
+def reconcile_dwh_files(ws):
+    """V-8 for the file channels: staged ids of each load day against the
+    fact's ids of that day's batch."""
+    both = _union([t(ws).select(F.lit(sold_by).alias("sold_by"), "BatchId", F.col("transID").alias("id"))
+                   for t, sold_by in ((stg.staged_csv, factplans.SOLD_BY_CSV), (stg.staged_xml, factplans.SOLD_BY_XML))])
+    return checks.reconcile_batches(both, wh.fact_table(ws).select("sold_by", "BatchId", F.col("src_trans_id").alias("id")))
+
+
 @query
 def duplicate_lookup_keys(ws):
     return checks.duplicate_lookup_keys(fx.f_event(ws.spark, ws.sf_dir, name_col="p_name"), ["EventName"])

@@ -39,12 +39,14 @@ def shared_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
     Taken from ``spark.checkpoint.dir`` as the cluster sets it. Only when it is
-    unset (local tests) do we pick a folder of our own and register it.
+    unset and the master is local do we pick a folder of our own and register it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = os.path.join(tempfile.gettempdir(), "boxoffice-checkpoints")
         os.makedirs(root, exist_ok=True)
         spark.sparkContext.setCheckpointDir(root)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxoffice.functions.columns import date_id
-from boxoffice.operators.lookups import BROADCAST_MAX_ROWS
+#: Days (16 bytes each) up to which the calendar is broadcast.
+BROADCAST_DAYS = 200_000
 
 
 def calendar_dim(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
@@ -23,4 +24,4 @@ def lookup_calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFr
     """Calendar ready for joins: its size is known from the span, so it is
     broadcast when the span is under the bound."""
     cal = calendar_dim(spark, start, end)
-    return F.broadcast(cal) if (end - start).days + 1 <= BROADCAST_MAX_ROWS else cal
+    return F.broadcast(cal) if (end - start).days + 1 <= BROADCAST_DAYS else cal

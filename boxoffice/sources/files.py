@@ -12,7 +12,7 @@ from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType, Stri
 # Office Location holds a location name, so it is text (the reference declared
 # it integer but compared it with names).
 CSV_SCHEMA = StructType([
-    StructField("Transaction ID", IntegerType(), False),
+    StructField("Transaction ID", LongType(), False),
     StructField("Event name", StringType(), False),
     StructField("Number of purchased tickets", IntegerType(), False),
     StructField("Total amount", DoubleType(), True),
@@ -22,17 +22,18 @@ CSV_SCHEMA = StructType([
     StructField("Office Location", StringType(), True),
     StructField("Created_date", DateType(), False),
 ])
-# Positional renames applied after the scan (P-3).
+# Names given to the nine columns after the scan (P-3), fixed by the staging format.
 FEED_COLUMNS = ["transID", "eventName", "Purchased_ticket", "Amount", "channel",
                 "custFirstName", "custLastName", "officeLoc", "createDate"]
 
+# Nested layout of a reseller's XML rows (fixed by the feed format).
 XML_ROW_TAG = "xml"
 XML_SCHEMA = StructType([
     StructField("transaction", StructType([
         StructField("date", StringType(), False),
         StructField("reseller-id", StringType(), False),
     ])),
-    StructField("tranactionId", IntegerType(), False),
+    StructField("tranactionId", LongType(), False),
     StructField("eventName", StringType(), False),
     StructField("numberOfPurchasedTickets", IntegerType(), False),
     StructField("totalAmount", DoubleType(), True),
@@ -73,16 +74,34 @@ def write_sales_csv(df: DataFrame, path: str) -> None:
      .option("header", True).csv(path))
 
 
+def source_name():
+    """The feed file a row came from: its name, or that of the folder it is part of."""
+    return F.regexp_extract(F.col("_metadata.file_path"), SALES_FILE_PATTERN, 0).alias("source_file")
+
+
 def read_sales_csv(spark: SparkSession, path: str, typed: bool = True) -> DataFrame:
-    """S-3 + P-3: scan every feed file with the declared schema, then rename the
-    nine columns by position. ``source_file`` comes from the directory name."""
+    """S-3 + P-3: scan every feed file under ``path`` (a file may be a folder of
+    parts) with the declared schema, then rename the nine columns. A header that
+    differs from the declared names fails the read. ``source_file`` is the name
+    of the feed file."""
     schema = CSV_SCHEMA if typed else StructType(
         [StructField(f.name, StringType(), True) for f in CSV_SCHEMA.fields])
-    raw = spark.read.schema(schema).option("header", True).csv(path)
+    raw = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+           .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path))
     if not typed:
         return raw
     return raw.select(*[F.col(f"`{f.name}`").alias(n) for f, n in zip(CSV_SCHEMA.fields, FEED_COLUMNS)],
-                      *[c for c in raw.columns if c not in CSV_SCHEMA.fieldNames()])
+                      source_name())
+
+
+def read_headers(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, header)``: the first line of every CSV file under ``path``. A file
+    is read by whole blocks; the line with the lowest place in its first block
+    is the header."""
+    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"), "value")
+             .filter(F.col("_start") == 0).withColumn("_at", F.monotonically_increasing_id()))
+    return lines.groupBy("path").agg(F.min_by("value", "_at").alias("header"))
 
 
 def write_sales_xml(df: DataFrame, path: str, files: int | None = None) -> None:

@@ -12,6 +12,8 @@ from pyspark.sql.types import StructType
 from boxoffice.operators.changes import latest_per_key
 
 LOAD_COL = "load_date"
+#: Estimated bytes a writing task gets; the estimate of a join can be far too high.
+WRITER_BYTES, MAX_WRITERS = 256 << 20, 100_000
 
 
 def change_versions(src: DataFrame, create="CreateDate", update="UpdateDate") -> DataFrame:
@@ -34,18 +36,33 @@ def by_partition_value(df: DataFrame, partition_col: str, num_partitions: int |
     """Lay rows out for a write partitioned by ``partition_col``: a range
     partitioning on (value, row hash) gives each task a contiguous run of
     values, so a small day is one file, while a day holding a large share of
-    the rows is split over several tasks by the hash. The explicit count keeps
-    AQE from folding everything into one writer."""
+    the rows is split over several tasks by the hash. There are at least as
+    many tasks as shuffle partitions or two per core, whichever is less (many
+    small folders take long in one writer), and more as the data grows, by
+    Catalyst's size estimate."""
     spark = df.sparkSession
-    n = num_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              2 * spark.sparkContext.defaultParallelism)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    n = num_partitions or max(min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                  2 * spark.sparkContext.defaultParallelism),
+                              min(size // WRITER_BYTES, MAX_WRITERS))
     return df.repartitionByRange(n, F.col(partition_col), F.hash(*[F.col(c) for c in df.columns]))
 
 
-def write_staging(df: DataFrame, path: str, partition_col: str = LOAD_COL) -> None:
+def drop_partition(spark: SparkSession, path: str, partition_col: str, value) -> None:
+    """Remove one partition folder, if it is there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={value}")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(folder) and not fs.delete(folder, True):
+        raise OSError(f"could not remove {folder}")
+
+
+def write_staging(df: DataFrame, path: str, partition_col: str = LOAD_COL, day: dt.date | None = None) -> None:
     """K-1: append a load to a staging table partitioned by load date. Dynamic
     partition overwrite replaces only the days present in ``df``, so rerunning
-    a day replaces it instead of duplicating it."""
+    a day replaces it instead of duplicating it. With ``day``, the one day that
+    ``df`` is for, its old rows also go if ``df`` is empty."""
+    if day is not None and df.isEmpty():
+        drop_partition(df.sparkSession, path, partition_col, day.isoformat())
     (by_partition_value(df, partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col)

@@ -7,32 +7,62 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from boxoffice.session import shared_root
 
-# Bump when a derived-table definition changes, so stale folders are not reused.
-LAYOUT_VERSION = "v13"
 DONE_MARKER = "_BOXOFFICE_DONE"
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 # Tables written once are read through one DataFrame per path, so the file
 # listing (thousands of day folders) is done once per process, not per query.
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
+def _code() -> str:
+    """Digest of the sources that derive tables."""
+    top = os.path.dirname(os.path.abspath(__file__))
+    h = hashlib.sha1()
+    for folder, dirs, names in sorted(os.walk(top)):
+        if os.path.basename(folder) in ("llm", "__pycache__"):
+            continue
+        for n in sorted(x for x in names if x.endswith(".py") and x != "oracle.py"):
+            with open(os.path.join(folder, n), "rb") as f:
+                h.update(f.read())
+    return h.hexdigest()
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession):
+    """List day-partitioned tables, which have thousands of folders, with a few
+    tasks a core instead of one task a folder; the session's setting comes back
+    afterwards."""
+    old = spark.conf.get(LISTING, None)
+    spark.conf.set(LISTING, str(max(16, 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.unset(LISTING) if old is None else spark.conf.set(LISTING, old)
 
 
 class Workspace:
+    """Derived tables of one input directory. Their folder is named after the
+    input files (path, size, time) and the code, so changed data or code is
+    never answered from old tables."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        tag = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:12]
-        self.root = f"{shared_root(spark)}/boxoffice-{LAYOUT_VERSION}/{tag}"
-        # Day-partitioned tables have thousands of folders; Spark's default
-        # lists them with one task per folder. Cap it unless the cluster chose.
-        key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-        if spark.conf.get(key, "10000") == "10000":
-            spark.conf.set(key, str(max(16, 2 * spark.sparkContext.defaultParallelism)))
+        fs, hp = self._fs_path(self.sf_dir)
+        found, it = [], fs.listFiles(hp, True)
+        while it.hasNext():
+            f = it.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        tag = hashlib.sha1(repr((sorted(found), _code())).encode()).hexdigest()[:16]
+        self.root = f"{shared_root(spark)}/boxoffice/{tag}"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -71,7 +101,8 @@ class Workspace:
                 w = w.partitionBy(partition_by)
             w.parquet(p)
         p = self.ensure(name, build)
-        key = (id(self.spark), p)
+        key = (self.spark.sparkContext.applicationId, p)
         if key not in _READS:
-            _READS[key] = self.spark.read.parquet(p)
+            with few_listing_tasks(self.spark):
+                _READS[key] = self.spark.read.parquet(p)
         return _READS[key]
