@@ -1,7 +1,8 @@
-"""One run date end to end, in the order of the reference's schedule:
-staging pulls with count gates, reseller files with quarantine, staging
-reconciliation, dimension loads, the three fact channels, and the warehouse
-reconciliation that rolls a day back before failing.
+"""One run date end to end (``run_day``): staging pulls with schema and count
+gates and reconciliation, reseller CSV and XML files with quarantine, reprocessing
+of rejected rows, dimension loads, the three fact channels, and the warehouse
+reconciliation of each dimension and channel, which rolls a day back before failing.
+Running a day again leaves the tables as they were.
 
 Tables live under one root (the caller's warehouse folder). Staging tables are
 partitioned by load day and appended by dynamic partition overwrite; warehouse
@@ -17,11 +18,13 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from boxoffice.functions.columns import date_id
 from boxoffice.operators import changes, checks, rules
 from boxoffice.plans import dims as dimplans
 from boxoffice.plans import facts as factplans
+from boxoffice.plans.staging import stage_valid
 from boxoffice.sources import files
 from boxoffice.sources.calendar import lookup_calendar
 from boxoffice.sources.tables import LOAD_COL, current_lookup, write_staging
@@ -57,13 +60,13 @@ class Warehouse:
         fs, hp = self._fs(p)
         _, aside = self._fs(p + ".old")
         if not fs.exists(hp) and fs.exists(aside):
-            fs.rename(aside, hp)
+            self._rename(fs, aside, hp)
         _, parts_aside = self._fs(p + ".aside")
         if fs.exists(parts_aside):                  # partitions moved aside by a stopped swap
             for st in fs.listStatus(parts_aside):
                 _, ht = self._fs(f"{p}/{st.getPath().getName()}")
                 if not fs.exists(ht):
-                    fs.rename(st.getPath(), ht)
+                    self._rename(fs, st.getPath(), ht)
             fs.delete(parts_aside, True)
         if not fs.exists(hp):
             return None
@@ -72,6 +75,11 @@ class Warehouse:
         except AnalysisException:
             return None
 
+    def _rename(self, fs, old, new) -> None:
+        """A Hadoop rename reports some failures by its result alone."""
+        if not fs.rename(old, new):
+            raise OSError(f"could not rename {old} to {new}")
+
     def _swap_in(self, target: str, new: str, aside_path: str | None = None) -> None:
         """Move ``new`` to ``target``: the old copy is renamed aside first and
         removed last, so a stop at any point leaves a complete table."""
@@ -82,17 +90,18 @@ class Warehouse:
         if fs.exists(aside):
             fs.delete(aside, True)
         if fs.exists(ht):
-            fs.rename(ht, aside)
+            self._rename(fs, ht, aside)
         fs.mkdirs(ht.getParent())
-        fs.rename(hn, ht)
+        self._rename(fs, hn, ht)
         if fs.exists(aside):
             fs.delete(aside, True)
 
-    def replace(self, kind: str, name: str, df: DataFrame) -> DataFrame:
+    def replace(self, kind: str, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         """Write the new state beside the old table, then swap it in."""
         p = self.path(kind, name)
         tmp = p + ".next"
-        df.write.mode("overwrite").parquet(tmp)
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (w.partitionBy(partition_by) if partition_by else w).parquet(tmp)
         self._swap_in(p, tmp)
         return self.spark.read.parquet(p)
 
@@ -121,25 +130,32 @@ class Warehouse:
         fs.delete(haside, True)
 
 
+#: Entities whose current versions later steps look up.
+LOOKUPS = ("event", "location", "reseller", "commission")
+
+
 def stage_changes(wh: Warehouse, sources: dict[str, DataFrame], run_date: dt.date) -> None:
-    """Entry 1: each source's rows created or updated on the run date, gated
-    on count, appended to its staging table for the day; then the entity's
-    current-version table is refreshed from that day alone."""
+    """Entry 1: each source's rows created or updated on the run date, gated on
+    schema, count and keys, appended to its staging table for the day; then the
+    current versions of a looked-up entity are refreshed from that day alone."""
     for name, src in sources.items():
-        pulled = changes.incremental_pull(src, run_date).withColumn(LOAD_COL, F.lit(run_date)) \
-            .withColumn("BatchId", date_id(LOAD_COL))
+        own = changes.incremental_pull(src, run_date)
+        declared = StructType([StructField(f.name, f.dataType, f.name not in STAGED_KEYS[name]) for f in src.schema.fields])
+        checks.assert_gate(checks.schema_conformance(own, declared), what=f"schema of {name}")
+        pulled = own.withColumn(LOAD_COL, F.lit(run_date)).withColumn("BatchId", date_id(LOAD_COL))
         p = wh.path("staging", name)
-        write_staging(pulled, p)
+        write_staging(pulled, p, day=run_date)
         staged = wh.spark.read.schema(pulled.schema).parquet(p).filter(F.col(LOAD_COL) == F.lit(run_date))
-        checks.assert_gate(checks.count_gate(changes.incremental_pull(src, run_date), staged),
-                           what=f"staging count {name}")
-        refresh_current(wh, name, staged)
+        checks.assert_gate(checks.count_gate(own, staged), what=f"staging count {name}")
+        checks.assert_gate(checks.reconcile_keys(own, staged, STAGED_KEYS[name]), what=f"staging keys {name}")
+        if name in LOOKUPS:
+            refresh_current(wh, name, staged)
 
 
 def refresh_current(wh: Warehouse, name: str, day_rows: DataFrame) -> DataFrame:
     """Current version per key after a day: the previous current table plus
-    the day's staged rows, reduced per key. The daily cost follows the size of
-    the current table and the day, not of the whole staging history."""
+    the day's staged rows, reduced per key. The cost follows the size of the
+    current table and the day, not of the whole staging history."""
     new = day_rows.drop(LOAD_COL, "BatchId")
     old = wh.read("current", name)
     both = new if old is None else old.unionByName(new)
@@ -150,43 +166,104 @@ def current(wh: Warehouse, name: str) -> DataFrame | None:
     return wh.read("current", name)
 
 
-def stage_csv_files(wh: Warehouse, drop_dir: str, run_date: dt.date) -> None:
-    """Entry 2: reseller CSV files of the run date: name gate, non-empty gate,
-    schema gate, rules; valid rows to staging, failures to quarantine."""
-    resellers = current(wh, "reseller")
-    names = checks.file_name_gate(files.list_files(wh.spark, drop_dir, "*.csv"), resellers, run_date)
-    checks.assert_gate(names, what="file name gate")
-    checks.assert_gate(checks.non_empty_gate({"csv": files.read_sales_csv(wh.spark, drop_dir)}),
-                       ok_col="has_rows", what="file non-empty gate")
-    raw = files.read_sales_csv(wh.spark, drop_dir, typed=False)
-    checks.assert_gate(checks.schema_conformance(raw, files.CSV_SCHEMA), what="schema gate")
-    ev = current(wh, "event").select("EventName", "TicketCost", "CreateDate")
-    loc = current(wh, "location").select("LocName")
-    feed = files.read_sales_csv(wh.spark, drop_dir)
-    flags = rules.rule_flags(feed, ev, loc, run_date).persist()
+def _lookups(wh: Warehouse) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return (current(wh, "event").select("EventName", "TicketCost", "CreateDate"), current(wh, "location").select("LocName"),
+            current(wh, "reseller").select("ResellerId"))
+
+
+def _write_errors(wh: Warehouse, kind: str, errors: DataFrame, run_date: dt.date) -> None:
+    write_staging(errors.withColumn(LOAD_COL, F.lit(run_date)), wh.path("errors", kind), day=run_date)
+
+
+def read_feed(wh: Warehouse, kind: str, drop_dir: str) -> DataFrame:
+    return (files.read_sales_csv(wh.spark, drop_dir) if kind == "csv"
+            else files.flatten_xml(files.read_sales_xml(wh.spark, drop_dir)))
+
+
+STAGED_FILES = {"csv": "spreadsheet_transaction", "xml": "xml_transaction"}
+
+
+def stage_files(wh: Warehouse, kind: str, drop_dir: str, run_date: dt.date) -> None:
+    """Entry 2: reseller files of the run date, ``kind`` csv or xml: gates on
+    names, columns, types and rows, then rules; valid rows to staging, failures
+    to quarantine, and every id must be in one of the two."""
+    events, locations, resellers = _lookups(wh)
+    if kind == "csv":
+        checks.assert_gate(checks.file_name_gate(files.list_files(wh.spark, drop_dir, "*.csv"), current(wh, "reseller"), run_date),
+                           what="file name gate")
+        checks.assert_gate(checks.column_presence(files.read_headers(wh.spark, drop_dir), files.CSV_SCHEMA), what="column gate")
+        checks.assert_gate(checks.schema_conformance(files.read_sales_csv(wh.spark, drop_dir, typed=False), files.CSV_SCHEMA),
+                           what="schema gate")
+    feed = read_feed(wh, kind, drop_dir)
+    if kind == "xml":
+        declared = StructType([StructField(f.name, f.dataType, f.name not in ("transID", "eventName", "createDate"))
+                               for f in feed.schema.fields])
+        checks.assert_gate(checks.schema_conformance(feed, declared), what="schema gate")
+    checks.assert_gate(checks.non_empty_gate({kind: feed}), ok_col="has_rows", what="file non-empty gate")
+    flags = rules.rule_flags(feed, events, locations, run_date, resellers=resellers if kind == "xml" else None).persist()
     try:
-        res_id = F.regexp_extract(F.col("source_file"), files.SALES_FILE_PATTERN, 4).cast("bigint")
-        valid = rules.valid_rows(flags).select(*files.FEED_COLUMNS, res_id.alias("Reseller_id"),
-                                               F.lit(run_date).alias(LOAD_COL)).withColumn("BatchId", date_id(LOAD_COL))
-        write_staging(valid, wh.path("staging", "spreadsheet_transaction"))
-        rules.quarantine(flags, run_date).withColumn(LOAD_COL, F.lit(run_date)) \
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy(LOAD_COL).parquet(wh.path("errors", "csv"))
+        staged = stage_valid(kind, flags, run_date)
+        errors = rules.quarantine(flags, run_date)
+        write_staging(staged, wh.path("staging", STAGED_FILES[kind]), day=run_date)
+        _write_errors(wh, kind, errors, run_date)
+        checks.assert_gate(checks.reconcile_file(feed, _day(wh, "staging", STAGED_FILES[kind], run_date, staged),
+                                                 _day(wh, "errors", kind, run_date, errors)), what=f"{kind} file reconciliation")
     finally:
         flags.unpersist()
 
 
+def stage_csv_files(wh: Warehouse, drop_dir: str, run_date: dt.date) -> None:
+    stage_files(wh, "csv", drop_dir, run_date)
+
+
+def stage_xml_files(wh: Warehouse, drop_dir: str, run_date: dt.date) -> None:
+    stage_files(wh, "xml", drop_dir, run_date)
+
+
+def _day(wh: Warehouse, kind: str, name: str, run_date: dt.date, like: DataFrame | None = None) -> DataFrame | None:
+    """A table's rows of one load day (no rows of the shape of ``like``, if the
+    table does not exist yet)."""
+    t = wh.read(kind, name)
+    if t is None:
+        return None if like is None else like.limit(0)
+    return t.filter(F.col(LOAD_COL) == F.lit(run_date))
+
+
+def reprocess_files(wh: Warehouse, kind: str, feed: DataFrame, run_date: dt.date) -> None:
+    """Rejected rows of earlier days, found again in ``feed``, are checked once
+    more: rows that pass join the run date's staging, their open errors are
+    closed, and renewed failures open new ones on the run date."""
+    errors = wh.read("errors", kind)
+    if errors is None:
+        return
+    earlier = errors.filter(F.col(LOAD_COL) < F.lit(run_date))
+    # errors that an earlier try of this day closed are open to this one
+    ours = F.coalesce(F.col("updateDt") == F.lit(run_date), F.lit(False))
+    earlier = earlier.withColumn("reprocessed", F.when(ours, "N").otherwise(F.col("reprocessed"))) \
+        .withColumn("updateDt", F.when(~ours, F.col("updateDt")))
+    events, locations, resellers = _lookups(wh)
+    candidates = rules.reprocess_candidates(feed, earlier).persist()
+    try:
+        again = rules.rule_flags(candidates, events, locations, run_date, resellers=resellers if kind == "xml" else None)
+        passed = stage_valid(kind, again, run_date)
+        own = _day(wh, "staging", STAGED_FILES[kind], run_date, passed).select(passed.columns)
+        closed = rules.mark_reprocessed(earlier, candidates, run_date)
+        renewed = rules.quarantine(again, run_date).withColumn(LOAD_COL, F.lit(run_date))
+        today = errors.filter(F.col(LOAD_COL) >= F.lit(run_date))
+        new_staged = own.unionByName(passed).distinct()
+        # both are written beside the tables they read, then swapped in
+        wh.replace_partitions("staging", STAGED_FILES[kind], new_staged, LOAD_COL, [run_date])
+        wh.replace("errors", kind, closed.unionByName(today).unionByName(renewed), partition_by=LOAD_COL)
+    finally:
+        candidates.unpersist()
+
+
 def load_warehouse(wh: Warehouse, run_date: dt.date, calendar_span: tuple[dt.date, dt.date]) -> None:
-    """Entry 3: dimensions, then platform and CSV facts, for the run date."""
+    """Entry 3: dimensions, then the three fact channels, for the run date."""
     cal = lookup_calendar(wh.spark, *calendar_span)
     loaded: dict[str, DataFrame] = {}
-
-    def day_rows(name):
-        t = wh.read("staging", name)
-        return None if t is None else t.filter(F.col(LOAD_COL) == F.lit(run_date))
-
     for name in DIM_ORDER:
-        staged, existing = day_rows(name), wh.read("dwh", name)
+        staged, existing = _day(wh, "staging", name, run_date), wh.read("dwh", name)
         if staged is None:
             loaded[name] = existing
             continue
@@ -198,57 +275,94 @@ def load_warehouse(wh: Warehouse, run_date: dt.date, calendar_span: tuple[dt.dat
         return
     d = factplans.Dims(loaded["event"], loaded["customer"], loaded["venue"], loaded["location"],
                        loaded["reseller"], com, cal)
-    # The fact table is partitioned by creation month. A day's inserts land
-    # in its own month; its updates hit the months their sales were created
-    # in (known from the staged update rows). Only those months are rewritten.
-    tx = day_rows("transaction")
-    csv = day_rows("spreadsheet_transaction")
+    # The fact table is partitioned by creation month. A day's inserts land in
+    # the months its rows were created in, as do its updates, and a file batch
+    # loaded before is replaced where it lies. Only those months are rewritten.
+    day = int(run_date.strftime("%Y%m%d"))
+    old = wh.read("dwh", "transaction")
+    tx = _day(wh, "staging", "transaction", run_date)
+    feeds = {factplans.SOLD_BY_CSV: _day(wh, "staging", STAGED_FILES["csv"], run_date),
+             factplans.SOLD_BY_XML: _day(wh, "staging", STAGED_FILES["xml"], run_date)}
+    feeds = {k: v for k, v in feeds.items() if v is not None}
+    created = [t.select(F.col(c).alias("d")) for t, c in [(tx, "CreateDate"), *((f, "createDate") for f in feeds.values())]
+               if t is not None]
     months = set()
-    if tx is not None:
-        months |= {r.m for r in tx.select((F.year("CreateDate") * 100 + F.month("CreateDate")).alias("m"))
-                   .distinct().collect()}
-    if csv is not None:
-        months |= {r.m for r in csv.select((F.year("createDate") * 100 + F.month("createDate")).alias("m"))
-                   .distinct().collect()}
+    for t in created:
+        months |= {r.m for r in t.select((F.year("d") * 100 + F.month("d")).alias("m")).distinct().collect()}
+    if old is not None:
+        for sold_by in feeds:
+            months |= {r[FACT_PART] for r in old.filter((F.col("sold_by") == sold_by) & (F.col("BatchId") == day))
+                       .select(FACT_PART).distinct().collect()}
     months.discard(None)
     if not months:
         return
-    old = wh.read("dwh", "transaction")
-    touched = None if old is None else old.filter(F.col(FACT_PART).isin(sorted(months))).drop(FACT_PART)
-    fact = touched
+    fact = None if old is None else old.filter(F.col(FACT_PART).isin(sorted(months))).drop(FACT_PART)
+    for sold_by, staged in feeds.items():
+        rows = factplans.load_file_fact(staged, d, sold_by)
+        fact = rows if fact is None else factplans.without_batch(fact, sold_by, day).unionByName(rows)
     if tx is not None:
-        fact = factplans.load_platform_fact(tx, d, existing=touched)
-    if csv is not None:
-        new_csv = factplans.load_file_fact(csv, d, factplans.SOLD_BY_CSV)
-        fact = new_csv if fact is None else fact.unionByName(new_csv)
-    if fact is not None:
-        wh.replace_partitions("dwh", "transaction",
-                              fact.withColumn(FACT_PART, (F.col("createDt_id") / 100).cast("int")),
-                              FACT_PART, sorted(months))
+        fact = factplans.load_platform_fact(tx, d, existing=fact)
+    wh.replace_partitions("dwh", "transaction", fact.withColumn(FACT_PART, (F.col("createDt_id") / 100).cast("int")),
+                          FACT_PART, sorted(months))
 
 
 def reconcile_or_rollback(wh: Warehouse, run_date: dt.date) -> None:
-    """V-8: staged keys of the day against warehouse rows of the day, per
-    channel; on a mismatch remove the day's rows of that channel, then fail."""
+    """V-8: staged keys of the day against warehouse rows of the day, for every
+    dimension and channel, right after the load. On a mismatch the day's rows
+    of that table or channel are removed, then the run fails."""
     day = int(run_date.strftime("%Y%m%d"))
-    staged, fact = wh.read("staging", "transaction"), wh.read("dwh", "transaction")
-    if staged is None or fact is None:
-        return
-    staged = staged.filter(F.col(LOAD_COL) == F.lit(run_date)) \
-        .withColumn("sold_by", F.lit(factplans.SOLD_BY_PLATFORM))
-    # only rows touched on the day: a pushed-down filter, not a count of every day
-    touched = fact.filter((F.col("sold_by") == factplans.SOLD_BY_PLATFORM)
-                          & ((F.col("createDt_id") == day) | (F.col("UpdateDt_id") == day)))
-    rec = checks.reconcile_per_day(staged, date_id(LOAD_COL), ["TransId"], touched,
-                                   ["createDt_id", "UpdateDt_id"], group_cols=["sold_by"]) \
-        .filter(F.col("date_dim_id") == day)
-    bad = rec.filter(~F.col("ok")).collect()
-    if bad:
-        # months holding rows created or updated on the day (a bounded list)
-        hit = fact.filter((F.col("createDt_id") == day) | (F.col("UpdateDt_id") == day)) \
-            .select(FACT_PART).distinct().collect()
-        months = sorted(r[FACT_PART] for r in hit)
-        kept = changes.rollback_day_channel(fact.filter(F.col(FACT_PART).isin(months)), day,
-                                            factplans.SOLD_BY_PLATFORM)
-        wh.replace_partitions("dwh", "transaction", kept, FACT_PART, months)
-        raise checks.GateError(f"warehouse reconciliation failed for {run_date}: {[r.asDict() for r in bad]}")
+    failed = []
+    for name, spec in dimplans.SPECS.items():
+        staged, dim = _day(wh, "staging", name, run_date), wh.read("dwh", name)
+        if staged is None or dim is None:
+            continue
+        touched = dim.filter((F.col("createDt_id") == day) | (F.col("UpdateDt_id") == day))
+        bad = checks.reconcile_per_day(staged, date_id(LOAD_COL), [spec.key], touched, ["createDt_id", "UpdateDt_id"]) \
+            .filter((F.col("date_dim_id") == day) & ~F.col("ok")).collect()
+        if bad:
+            wh.replace("dwh", name, changes.rollback_day(dim, day))
+            failed.append((name, [r.asDict() for r in bad]))
+    fact = wh.read("dwh", "transaction")
+    tx = _day(wh, "staging", "transaction", run_date)
+    if fact is not None and tx is not None:
+        # months of the day's sales, from the small staged day: prunes the fact's folders
+        months = [r.m for r in tx.select((F.year("CreateDate") * 100 + F.month("CreateDate")).alias("m")).distinct().collect()]
+        touched = fact.filter(F.col(FACT_PART).isin(months) & (F.col("sold_by") == factplans.SOLD_BY_PLATFORM)
+                              & ((F.col("createDt_id") == day) | (F.col("UpdateDt_id") == day)))
+        rec = checks.reconcile_per_day(tx.withColumn("sold_by", F.lit(factplans.SOLD_BY_PLATFORM)), date_id(LOAD_COL), ["TransId"],
+                                       touched, ["createDt_id", "UpdateDt_id"], group_cols=["sold_by"])
+        bad = rec.filter((F.col("date_dim_id") == day) & ~F.col("ok")).collect()
+        if bad:
+            kept = changes.rollback_day_channel(fact.filter(F.col(FACT_PART).isin(months)), day, factplans.SOLD_BY_PLATFORM)
+            wh.replace_partitions("dwh", "transaction", kept, FACT_PART, months)
+            failed.append((factplans.SOLD_BY_PLATFORM, [r.asDict() for r in bad]))
+    for sold_by, kind in ((factplans.SOLD_BY_CSV, "csv"), (factplans.SOLD_BY_XML, "xml")):
+        staged, fact = _day(wh, "staging", STAGED_FILES[kind], run_date), wh.read("dwh", "transaction")
+        if staged is None or fact is None:
+            continue
+        own = fact.filter((F.col("sold_by") == sold_by) & (F.col("BatchId") == day))
+        bad = checks.reconcile_batches(staged.select(F.lit(sold_by).alias("sold_by"), "BatchId", F.col("transID").alias("id")),
+                                       own.select("sold_by", "BatchId", F.col("src_trans_id").alias("id"))) \
+            .filter(~F.col("ok")).collect()
+        if bad:
+            months = [r[FACT_PART] for r in own.select(FACT_PART).distinct().collect()]
+            if months:
+                kept = factplans.without_batch(fact.filter(F.col(FACT_PART).isin(months)), sold_by, day)
+                wh.replace_partitions("dwh", "transaction", kept, FACT_PART, months)
+            failed.append((sold_by, [r.asDict() for r in bad]))
+    if failed:
+        raise checks.GateError(f"warehouse reconciliation failed for {run_date}: {failed}")
+
+
+def run_day(wh: Warehouse, sources: dict[str, DataFrame], run_date: dt.date, calendar_span: tuple[dt.date, dt.date],
+            drop_dirs: dict[str, str] | None = None, earlier_dirs: dict[str, str] | None = None) -> None:
+    """The whole run date. ``drop_dirs``: folder of the day's files by kind (csv,
+    xml); ``earlier_dirs``: folder of the files whose rejected rows are due for
+    another check."""
+    stage_changes(wh, sources, run_date)
+    for kind, folder in (drop_dirs or {}).items():
+        stage_files(wh, kind, folder, run_date)
+    for kind, folder in (earlier_dirs or {}).items():
+        reprocess_files(wh, kind, read_feed(wh, kind, folder), run_date)
+    load_warehouse(wh, run_date, calendar_span)
+    reconcile_or_rollback(wh, run_date)

@@ -125,6 +125,11 @@ def _stage_valid_xml(flags: DataFrame, run_date: dt.date) -> DataFrame:
                     F.lit(run_date).alias(LOAD_COL)).withColumn("BatchId", date_id(LOAD_COL))
 
 
+def stage_valid(kind: str, flags: DataFrame, run_date: dt.date) -> DataFrame:
+    """The valid rows of a flagged feed, ``kind`` csv or xml, as they are staged."""
+    return _stage_valid_csv(flags, run_date) if kind == "csv" else _stage_valid_xml(flags, run_date)
+
+
 def staged_csv(ws: Workspace) -> DataFrame:
     """Staging table of valid CSV sales for the file run date."""
     return ws.parquet("staging/spreadsheet_transaction",
@@ -164,6 +169,6 @@ def reprocess(feed: DataFrame, errors: DataFrame, events: DataFrame, locations:
     after theirs."""
     candidates = rules.reprocess_candidates(feed, errors)
     again = rules.rule_flags(candidates, events, locations, run_date, resellers=resellers)
-    staged = _stage_valid_csv(again, run_date) if resellers is None else _stage_valid_xml(again, run_date)
+    staged = stage_valid("csv" if resellers is None else "xml", again, run_date)
     marked = rules.mark_reprocessed(errors, candidates, run_date)
     return staged, marked.unionByName(rules.quarantine(again, run_date), allowMissingColumns=True)

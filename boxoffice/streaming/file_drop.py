@@ -1,8 +1,9 @@
 """Reseller files as they land: a Structured Streaming file source over the
 drop folder, each micro-batch validated with the same rules as the daily batch.
 
-The stream's checkpoint records which files were taken, so every file is
-validated exactly once across restarts and lost executors. ``availableNow``
+The stream's checkpoint records which files were taken. Each batch overwrites its
+own partition (load day and batch), so a batch replayed after a crash between
+its writes and its commit replaces its rows: every file counts once. ``availableNow``
 processes what has landed and stops, which is how a daily schedule runs it;
 a processing-time trigger keeps it running instead.
 """
@@ -32,10 +33,16 @@ def feed_stream(spark: SparkSession, drop_dir: str, max_files_per_trigger: int =
     return raw.select(*cols, name.alias("source_file"))
 
 
+def write_batch(rows: DataFrame, path: str, day: dt.date, batch_id: int) -> None:
+    """Write one micro-batch as its own partition, in place of an earlier try."""
+    own = f"{path}/{LOAD_COL}={day.isoformat()}/stream_batch={batch_id}"
+    rows.drop(LOAD_COL).write.mode("overwrite").parquet(own)
+
+
 def validate_batch(lookups: Callable[[], tuple[DataFrame, DataFrame]], run_date: Callable[[], dt.date],
                    staging_path: str, errors_path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: rules on the batch, valid rows appended to the
-    staging table, failures to the quarantine table, both for the run date.
+    """``foreachBatch`` body: rules on the batch, valid rows to the staging
+    table, failures to the quarantine table, both for the run date and batch.
     The batch is persisted so the feed is read once for both writes."""
     def run(batch: DataFrame, batch_id: int) -> None:
         day = run_date()
@@ -46,9 +53,8 @@ def validate_batch(lookups: Callable[[], tuple[DataFrame, DataFrame]], run_date:
             valid = rules.valid_rows(flags).select(*files.FEED_COLUMNS, res_id.alias("Reseller_id"),
                                                    F.lit(day).alias(LOAD_COL)) \
                 .withColumn("BatchId", date_id(LOAD_COL))
-            valid.write.mode("append").partitionBy(LOAD_COL).parquet(staging_path)
-            rules.quarantine(flags, day).withColumn(LOAD_COL, F.lit(day)) \
-                .write.mode("append").partitionBy(LOAD_COL).parquet(errors_path)
+            for rows, path in ((valid, staging_path), (rules.quarantine(flags, day).withColumn(LOAD_COL, F.lit(day)), errors_path)):
+                write_batch(rows, path, day, batch_id)
         finally:
             flags.unpersist()
     return run
