@@ -267,6 +267,24 @@ def f_geo_block(spark, sf_dir) -> DataFrame:
     )
 
 
+def f_weblog6(spark, sf_dir) -> DataFrame:
+    """Requests over IPv6: one per row of ``events``; every 50th address is malformed."""
+    e = table(spark, sf_dir, "events")
+    hexed = lambda c: F.lower(F.hex(c.cast("long")))
+    ip = F.concat(F.lit("2001:db8:"), hexed(F.col("user_id") % 256), F.lit("::"), hexed(F.col("event_id") % 65536))
+    return e.select("event_id", F.when(F.col("event_id") % 50 == 0, F.lit("2001:db8::1::2")).otherwise(ip).alias("client_ip"))
+
+
+def f_geo_block6(spark, sf_dir) -> DataFrame:
+    """A /45 block for each nation, and within it a /48 of the next nation."""
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("k"), F.col("n_name").alias("country_name"))
+    hexed = lambda c: F.lower(F.hex(c))
+    wide = n.select(F.concat(F.lit("2001:DB8:"), hexed(F.col("k") * 8), F.lit("::/45")).alias("network"), "country_name")
+    inner = n.filter(F.col("k") > 0).select(F.concat(F.lit("2001:db8:"), hexed((F.col("k") - 1) * 8 + 3), F.lit(":0:0:0:0:0/48")).alias("network"),
+                                            "country_name")
+    return wide.unionByName(inner)
+
+
 def f_web_customer(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     return c.select(

@@ -68,6 +68,36 @@ def cidr_bounds(network) -> tuple[Column, Column]:
     return start, start + size - 1
 
 
+def ipv6_groups(ip) -> Column:
+    """IPv6 text to its eight 16-bit groups as ints; NULL for malformed text
+    (also for a dotted quad as the last two groups)."""
+    text = F.lower(_c(ip))
+    halves = F.split(text, "::")
+
+    def groups(half: Column) -> Column:
+        return F.when(half == "", F.array().cast("array<string>")).otherwise(F.split(half, ":"))
+
+    left = groups(F.get(halves, F.lit(0)))
+    right = F.when(F.size(halves) == 2, groups(F.get(halves, F.lit(1)))).otherwise(F.array().cast("array<string>"))
+    missing = F.lit(8) - F.size(left) - F.size(right)
+    whole = F.when((F.size(halves) == 1) & (missing == 0), left) \
+        .when((F.size(halves) == 2) & (missing > 0), F.concat(left, F.array_repeat(F.lit("0"), missing), right))
+    fine = F.forall(whole, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
+    return F.when(F.coalesce(fine, F.lit(False)), F.transform(whole, lambda g: F.conv(g, 16, 10).cast("int")))
+
+
+def ipv6_prefix(groups, length) -> Column:
+    """The first ``length`` bits of eight groups, the rest zero, as 32 hex digits."""
+    length = _c(length)
+
+    def kept(g: Column, i: Column) -> Column:
+        bits = F.greatest(F.lit(0), F.least(F.lit(16), length - i * 16))
+        size = F.pow(F.lit(2.0), F.lit(16) - bits).cast("int")
+        return F.lpad(F.lower(F.hex((g - g % size).cast("long"))), 4, "0")
+
+    return F.array_join(F.transform(_c(groups), kept), "")
+
+
 def business_key(name, ts) -> Column:
     """F-5: ``name || ts`` with the timestamp in a fixed text form; NULL if
     either part is NULL."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxoffice.functions.columns import cidr_bounds, ipv4_to_long
+from boxoffice.functions.columns import cidr_bounds, ipv4_to_long, ipv6_groups, ipv6_prefix
 
 BUCKET_BITS = 16
 
@@ -51,3 +51,28 @@ def ip_range_lookup(df: DataFrame, ip_col: str, blocks: DataFrame, payload: list
             .groupBy("_ip").agg(F.min(F.struct(size.alias("_s"), *[F.col(p) for p in payload])).alias("_b"))
             .select("_ip", *[F.col(f"_b.{p}").alias(p) for p in payload]))
     return df.select("*", ip.alias("_ip")).join(best, "_ip", "left").select(*df.columns, *payload)
+
+
+def ipv6_prefix_lookup(df: DataFrame, ip_col: str, blocks: DataFrame, payload: list[str],
+                       network_col: str = "network") -> DataFrame:
+    """LEFT join every row to the smallest IPv6 block that contains its address.
+
+    An address lies in a block if their first bits, as many as the block's
+    length, are equal: each distinct address is cut to every length that
+    occurs among the blocks (129 at most) and equi-joined on (length, prefix), the
+    longest match winning. ``ip_ok`` is false for text that is no IPv6 address,
+    which matches nothing.
+    """
+    length = F.try_element_at(F.split(network_col, "/"), F.lit(2)).try_cast("int")
+    nets = blocks.select(length.alias("_len"), ipv6_groups(F.get(F.split(network_col, "/"), F.lit(0))).alias("_g"), *payload) \
+        .filter(F.col("_g").isNotNull() & F.col("_len").between(0, 128))
+    nets = nets.select("_len", ipv6_prefix("_g", "_len").alias("_prefix"), *payload)
+    lengths = sorted(r["_len"] for r in nets.select("_len").distinct().collect())
+    ips = df.select(F.col(ip_col).alias("_ip")).distinct().withColumn("_g", ipv6_groups("_ip"))
+    cut = ips.filter(F.col("_g").isNotNull()).select("_ip", "_g", F.explode(F.array(*[F.lit(n) for n in lengths]).cast("array<int>")).alias("_len"))
+    cut = cut.select("_ip", "_len", ipv6_prefix("_g", "_len").alias("_prefix"))
+    row = F.struct("_len", *payload)
+    best = cut.join(nets, ["_len", "_prefix"]).groupBy("_ip").agg(F.max(row).alias("_b"))
+    known = ips.select("_ip", F.col("_g").isNotNull().alias("_ok")).join(best, "_ip", "left")
+    return df.join(known, F.col(ip_col) == F.col("_ip"), "left").select(
+        *[df[c] for c in df.columns], F.coalesce("_ok", F.lit(False)).alias("ip_ok"), *[F.col(f"_b.{p}").alias(p) for p in payload])

@@ -768,6 +768,20 @@ from ({src_sql}) s full outer join ({dst_sql}) d on s.date_dim_id = d.date_dim_i
     out["product_dim_load"] = q.sql(f"select * from {products(q)}")
     q = Q()
     out["geoip_range_join"] = q.sql(f"select request, client_ip, country_name from {request_country(q)}")
+    out["geoip_ipv6"] = """select event_id, client_ip, ip_ok, n_name country_name from (
+  select event_id, case when event_id % 50 = 0 then '2001:db8::1::2'
+      else '2001:db8:' || lower(printf('%x', user_id % 256)) || '::' || lower(printf('%x', event_id % 65536)) end client_ip,
+    event_id % 50 <> 0 ip_ok, (user_id % 256) g from events) e
+  left join nation on ip_ok and n_nationkey = case when g % 8 = 3 and g // 8 + 1 < 25 then g // 8 + 1 else g // 8 end"""
+    q = Q()
+    days = f"cast(created_at as date) between cast({WEB_DAY} as date) and cast({WEB_DAY} as date) + 1"
+    out["mart_two_days"] = q.sql(f"""select 'customer' entity, cast(created_at as date) load_date,
+  row_number() over (order by cast(created_at as date), cust_document_no) as key, cust_document_no src_id
+from {base(q, 'web_customer')} where {days}
+union all
+select 'product', cast(created_at as date), row_number() over (order by cast(created_at as date), r, prod_id), prod_id from (
+  select created_at, 0 r, prod_id from {base(q, 'supplier_products')} union all select created_at, 1, prod_id from {base(q, 'seller_products')}) p
+where {days}""")
     q = Q()
     out["order_request_load"] = q.sql(f"select * from {order_requests(q)}")
     q = Q()

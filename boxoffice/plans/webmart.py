@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from boxoffice.functions.columns import business_key, same_day
 from boxoffice.operators.checks import assert_gate, duplicate_lookup_keys
-from boxoffice.operators.keys import surrogate_key
+from boxoffice.operators.keys import next_key_start, surrogate_key
 from boxoffice.operators.rangejoin import ip_range_lookup
 
 SELLER, SUPPLIER = "Seller", "Supplier"
@@ -22,24 +22,27 @@ def _day(df: DataFrame, ts: str, day: dt.date | None) -> DataFrame:
     return df if day is None else df.filter(same_day(ts, day))
 
 
-def mart_customers(customers: DataFrame, day: dt.date | None = None) -> DataFrame:
+def mart_customers(customers: DataFrame, day: dt.date | None = None, existing: DataFrame | None = None) -> DataFrame:
     """L-5: customers created on the run date, keyed in (day, id) order."""
     rows = _day(customers, "created_at", day).select(
         F.to_date("created_at").alias("_d"),
         F.col("cust_document_no").alias("cuit_identifier"), "customer_name",
         F.col("date_of_birth").alias("customer_DOB"))
-    return surrogate_key(rows, ["_d", "cuit_identifier"], "customer_key").drop("_d")
+    return surrogate_key(rows, ["_d", "cuit_identifier"], "customer_key",
+                         start=next_key_start(existing, "customer_key")).drop("_d")
 
 
-def mart_companies(companies: DataFrame, day: dt.date | None = None) -> DataFrame:
+def mart_companies(companies: DataFrame, day: dt.date | None = None, existing: DataFrame | None = None) -> DataFrame:
     """L-5: companies created on the run date."""
     rows = _day(companies, "created_at", day).select(
         F.to_date("created_at").alias("_d"),
         F.col("cuit_identifier").alias("company_src_identifier"), "company_name", "company_type")
-    return surrogate_key(rows, ["_d", "company_src_identifier"], "company_key").drop("_d")
+    return surrogate_key(rows, ["_d", "company_src_identifier"], "company_key",
+                         start=next_key_start(existing, "company_key")).drop("_d")
 
 
-def product_dim(seller: DataFrame, supplier: DataFrame, day: dt.date | None = None) -> DataFrame:
+def product_dim(seller: DataFrame, supplier: DataFrame, day: dt.date | None = None,
+                existing: DataFrame | None = None) -> DataFrame:
     """U-2: supplier and seller products as one dimension with a type tag;
     within a day supplier products are keyed first, as they are loaded first."""
     def tagged(df, tag, rank):
@@ -47,7 +50,8 @@ def product_dim(seller: DataFrame, supplier: DataFrame, day: dt.date | None = No
             F.to_date("created_at").alias("_d"), F.lit(rank).alias("_r"),
             F.col("prod_id").alias("product_src_id"), F.lit(tag).alias("product_src_type"))
     both = tagged(supplier, SUPPLIER, 0).unionByName(tagged(seller, SELLER, 1))
-    return surrogate_key(both, ["_d", "_r", "product_src_id"], "product_key").drop("_d", "_r")
+    return surrogate_key(both, ["_d", "_r", "product_src_id"], "product_key",
+                         start=next_key_start(existing, "product_key")).drop("_d", "_r")
 
 
 def geo_blocks(blocks: DataFrame, locations: DataFrame) -> DataFrame:
@@ -62,14 +66,15 @@ def request_country(weblog: DataFrame, blocks: DataFrame, locations: DataFrame)
 
 
 def order_requests(weblog: DataFrame, blocks: DataFrame, locations: DataFrame,
-                   day: dt.date | None = None) -> DataFrame:
+                   day: dt.date | None = None, existing: DataFrame | None = None) -> DataFrame:
     """L-6: one order request per web request of the day: business key
     ``user_name || request_date`` (F-5), browser and country."""
     rows = request_country(_day(weblog, "request_date", day), blocks, locations).select(
         "request_date", "request",
         business_key("user_name", "request_date").alias("req_src_id"),
         F.col("user_agent").alias("browser"), F.col("country_name").alias("country"))
-    return surrogate_key(rows, ["request_date", "request"], "req_key").drop("request_date", "request")
+    return surrogate_key(rows, ["request_date", "request"], "req_key",
+                         start=next_key_start(existing, "req_key")).drop("request_date", "request")
 
 
 def order_lines(orders: DataFrame, items: DataFrame, customers: DataFrame, companies: DataFrame,
@@ -94,14 +99,16 @@ def order_lines(orders: DataFrame, items: DataFrame, customers: DataFrame, compa
 
 
 def _unique(df: DataFrame, key: str, what: str) -> DataFrame:
-    """A scalar lookup must not find two rows (J-12); fail like the database."""
+    """A scalar lookup must not find two rows (J-12); fail like the database.
+    NULL keys are never found, so they may repeat."""
+    df = df.filter(F.col(key).isNotNull())
     dups = duplicate_lookup_keys(df, [key]).limit(1).withColumn("ok", F.lit(False))
     assert_gate(dups, what=f"lookup {what} has repeated {key}")
     return df
 
 
 def order_fact(lines: DataFrame, products: DataFrame, customers_dim: DataFrame,
-               companies_dim: DataFrame, requests_dim: DataFrame) -> DataFrame:
+               companies_dim: DataFrame, requests_dim: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """L-7 / J-12: order fact. The scalar lookups become LEFT joins on unique
     keys (checked first); the end user is the customer or the company by
     ``end_user_type``; order keys follow (order date, order, item, …)."""
@@ -128,4 +135,4 @@ def order_fact(lines: DataFrame, products: DataFrame, customers_dim: DataFrame,
         F.col("quantity").alias("line_item_qty"), F.col("total_paid").alias("line_paid_amt"))
     order = ["order_date", "order_src_id", "order_item_src_id", "product_key", "end_user_type",
              "end_user_key", "order_request_key", "line_item_qty", "line_paid_amt"]
-    return surrogate_key(rows, order, "order_key")
+    return surrogate_key(rows, order, "order_key", start=next_key_start(existing, "order_key"))

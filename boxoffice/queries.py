@@ -13,11 +13,13 @@ from boxoffice import fixtures as fx
 from boxoffice.functions.columns import date_id, same_day
 from boxoffice.operators import changes, checks, rules
 from boxoffice.operators.keys import next_key_start, surrogate_key
+from boxoffice.operators.rangejoin import ipv6_prefix_lookup
 from boxoffice.plans import dims as dimplans
 from boxoffice.plans import facts as factplans
 from boxoffice.plans import staging as stg
 from boxoffice.plans import warehouse as wh
 from boxoffice.plans import webmart as wm
+from boxoffice.plans.martday import read_mart, run_mart_day
 from boxoffice.sources import files
 from boxoffice.sources.tables import LOAD_COL, read_table, staged_window, write_staging
 from boxoffice.workspace import Workspace
@@ -438,6 +440,29 @@ def geoip_range_join(ws):
         .select("request", "client_ip", "country_name")
 
 
+@query
+def geoip_ipv6(ws):
+    """J-9 over IPv6, nested blocks, malformed addresses reported."""
+    s, d = ws.spark, ws.sf_dir
+    return ipv6_prefix_lookup(fx.f_weblog6(s, d), "client_ip", fx.f_geo_block6(s, d), ["country_name"])
+
+
+@query
+def mart_two_days(ws):
+    """The mart's customers and orders after two run dates, the second one run
+    twice: keys go on from day to day."""
+    s, d, root = ws.spark, ws.sf_dir, ws.path("roundtrip/mart")
+    for day in (WEB_DAY, WEB_DAY + fx.dt.timedelta(days=1), WEB_DAY + fx.dt.timedelta(days=1)):
+        run_mart_day(s, root, day, wh.weblog(ws), fx.f_geo_block(s, d), fx.f_geo_location(s, d), fx.f_web_customer(s, d),
+                     fx.f_company(s, d), fx.f_seller_products(s, d), fx.f_supplier_products(s, d), fx.f_web_order(s, d),
+                     fx.f_order_item(s, d))
+    cust = read_mart(s, root, "customers").select(F.lit("customer").alias("entity"), LOAD_COL, F.col("customer_key").alias("key"),
+                                                  F.col("cuit_identifier").cast("long").alias("src_id"))
+    prod = read_mart(s, root, "products").select(F.lit("product").alias("entity"), LOAD_COL, F.col("product_key").alias("key"),
+                                                 F.col("product_src_id").cast("long").alias("src_id"))
+    return cust.unionByName(prod)
+
+
 @query
 def order_request_load(ws):
     s, d = ws.spark, ws.sf_dir

@@ -37,18 +37,20 @@ def incremental_pull_jdbc(spark: SparkSession, url: str, table: str, day: dt.dat
 def incremental_count_jdbc(spark: SparkSession, url: str, table: str, day: dt.date,
                            options: dict | None = None, create="CreateDate",
                            update="UpdateDate") -> DataFrame:
-    """S-2: source-side count of the same rows, one row ``cnt``."""
-    return (incremental_pull_jdbc(spark, url, table, day, options, create, update)
-            .agg(F.count(F.lit(1)).alias("cnt")))
+    """S-2: count of the same rows, one row ``cnt``, computed by the database."""
+    d = "{d '" + day.isoformat() + "'}"          # a date in the escape syntax that every JDBC driver reads
+    counted = f"(SELECT COUNT(*) AS cnt FROM {table} WHERE {create} = {d} OR {update} = {d}) counted"
+    return read_jdbc(spark, url, counted, options).select(F.col("cnt").cast("long").alias("cnt"))
 
 
 def export_jdbc(df: DataFrame, url: str, table: str, options: dict | None = None,
                 mode: str = "append", batchsize: int = 10000,
-                num_partitions: int | None = None) -> None:
-    """K-2: append rows to a database table; ``num_partitions`` bounds the number
-    of concurrent connections."""
-    if num_partitions:
-        df = df.coalesce(num_partitions)
+                num_partitions: int = 16) -> None:
+    """K-2: append rows to a database table over at most ``num_partitions``
+    connections. A task that Spark retries appends its rows again, so the target
+    should be a load table without readers, moved on by the database in one
+    statement; ``boxoffice.sources.tables.write_staging`` needs no such care."""
+    df = df.coalesce(num_partitions)
     w = (df.write.format("jdbc").mode(mode).option("url", url).option("dbtable", table)
          .option("batchsize", batchsize))
     for k, v in (options or {}).items():

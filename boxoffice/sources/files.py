@@ -113,8 +113,14 @@ def write_sales_xml(df: DataFrame, path: str, files: int | None = None) -> None:
 
 
 def read_sales_xml(spark: SparkSession, path: str) -> DataFrame:
-    """S-4: nested XML rows (row tag ``xml``) with the declared schema."""
-    return spark.read.format("xml").option("rowTag", XML_ROW_TAG).schema(XML_SCHEMA).load(path)
+    """S-4: nested XML rows (row tag ``xml``) with the declared schema. The files
+    are read as text that ends rows at the closing tag, so one large file is
+    split over many tasks."""
+    text = spark.read.option("lineSep", f"</{XML_ROW_TAG}>").text(path)
+    row = F.regexp_extract("value", rf"(?s)<{XML_ROW_TAG}[\s>].*$", 0)
+    parsed = text.select(row.alias("row")).filter(F.col("row") != "") \
+        .select(F.from_xml(F.concat("row", F.lit(f"</{XML_ROW_TAG}>")), XML_SCHEMA, {"rowTag": XML_ROW_TAG}).alias("r"))
+    return parsed.select("r.*")
 
 
 def flatten_xml(df: DataFrame) -> DataFrame:
