@@ -39,7 +39,8 @@ def incremental_count_jdbc(spark: SparkSession, url: str, table: str, day: dt.da
                            update="UpdateDate") -> DataFrame:
     """S-2: count of the same rows, one row ``cnt``, computed by the database."""
     d = "{d '" + day.isoformat() + "'}"          # a date in the escape syntax that every JDBC driver reads
-    counted = f"(SELECT COUNT(*) AS cnt FROM {table} WHERE {create} = {d} OR {update} = {d}) counted"
+    quoted = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier
+    counted = f"(SELECT COUNT(*) AS cnt FROM {table} WHERE {quoted(create)} = {d} OR {quoted(update)} = {d}) counted"
     return read_jdbc(spark, url, counted, options).select(F.col("cnt").cast("long").alias("cnt"))
 
 
