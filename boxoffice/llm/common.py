@@ -72,6 +72,16 @@ def text_batches(batches: Iterable[pa.RecordBatch], column: str = "text",
             yield batch.slice(a, b - a)
 
 
+def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of a few, and freed memory given back after each
+    batch that Spark sent: workers live on, and their next task has other needs."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a text column (null: empty) and each row's bounds in them."""
     column = pc.fill_null(column, "").cast(pa.large_string())

@@ -70,16 +70,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, fp) per row; fp holds the 64 bits as a long. No shuffle. ``keep_row``
     adds the whole input row as struct ``row``."""
     common.ship(docs.sparkSession)
-    cols = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")]
-    if keep_row:
-        cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    cols = [F.col(id_col).cast("long").alias("doc_id"),
+            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row") if keep_row else F.col(text_col).cast("string").alias("text")]
     out = T.StructType().add("doc_id", "long").add("fp", "long")
     if keep_row:
         out.add("row", docs.schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fps = np.array([simhash(t) for t in b["text"].to_pylist()], np.uint64)
+        for b in common.small_batches(batches):
+            texts = b["row"].field(text_col).cast(pa.string()) if keep_row else b["text"]
+            fps = np.array([simhash(t) for t in texts.to_pylist()], np.uint64)
             rest = [b["row"]] if keep_row else []
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fps.view(np.int64)), *rest], out.fieldNames())
 

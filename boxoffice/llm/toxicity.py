@@ -221,10 +221,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     ``keep_row`` adds the whole input row as struct ``row``; ``passages`` adds the
     significant segments as (first token, end token, score)."""
     common.ship(docs.sparkSession)
-    cols = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-            (common.crc_mod(F.col(id_col), FOLDS) == 0).alias("held_out")]
-    if keep_row:
-        cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    cols = [F.col(id_col).cast("long").alias("doc_id"), (common.crc_mod(F.col(id_col), FOLDS) == 0).alias("held_out"),
+            # the text goes to Python once, among the row's columns if these are kept
+            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row") if keep_row else F.col(text_col).cast("string").alias("text")]
     rows = docs.select(*cols)
     out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),
                         T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
@@ -234,9 +233,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         out.add(rows.schema["row"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in common.text_batches(batches, limit=4 * common.CHUNK_BYTES):
+        for b in common.small_batches(batches):
             p, where = [], []
-            for text in b["text"].to_pylist():
+            for text in (b["row"].field(text_col).cast(pa.string()) if keep_row else b["text"]).to_pylist():
                 words = tokens(text)
                 found = segments(words, model.scores)
                 p.append(model.probability(model.evidence(len(words), found)))
