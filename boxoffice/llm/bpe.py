@@ -19,6 +19,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -163,10 +164,10 @@ class Codec:
     def learn(self, texts: list[list[str]]) -> None:
         """Remember the words of ``texts`` (each a list of words)."""
         words, matches = self.words, self.matches
-        fresh = {w for t in texts for w in t if w not in words}
-        if len(words) + len(fresh) > REMEMBERED:
+        every = set().union(*texts)
+        if len(words) + len(every) > REMEMBERED:
             words.clear()
-            fresh = {w for t in texts for w in t}
+        fresh = every.difference(words)
         split = {w: self.pattern.findall(w) for w in fresh}
         todo = {m for ms in split.values() for m in ms if m not in matches}
         if len(matches) + len(todo) > REMEMBERED:
@@ -184,10 +185,7 @@ class Codec:
         self.learn(split)
         known = self.words
         for words in split:
-            out: list[int] = []
-            for w in words:
-                out += known[w]
-            yield out
+            yield list(chain.from_iterable(map(known.__getitem__, words)))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
