@@ -17,7 +17,6 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,7 +35,7 @@ GROUP = 16384
 SEED = 20
 
 #: Words that a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: Text bytes tokenised at a time.
 BATCH_BYTES = 4 << 20
 
@@ -47,29 +46,31 @@ _SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c !=
 
 
 class WordTokenizer:
-    """Ids of whole texts. The tokenizer drops white space and treats the words between
-    independently, so each distinct word is encoded once and remembered; words of
-    letters are encoded many at a time and told apart by their end-of-word tokens."""
+    """Ids of whole texts, as little-endian 32-bit bytes. The tokenizer drops white space
+    and treats the words between independently, so each distinct word is encoded once
+    and remembered as bytes, and a text's ids are its words' joined; words of letters are
+    encoded many at a time and told apart by their end-of-word tokens."""
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.inner = Tokenizer.from_file(file)
-        self.ends = {i for t, i in self.inner.get_vocab().items() if t.endswith("</w>")}
-        self.parts: dict[str, tuple[int, ...]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.ends = np.zeros(self.inner.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.inner.get_vocab().items() if t.endswith("</w>")]] = True
+        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
-    def whole(self, text: str) -> list[int]:
-        return self.inner.encode(text, add_special_tokens=False).ids
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.inner.encode(text, add_special_tokens=False).ids, "<u4")
 
     def learn(self, texts: list[list[str]]) -> None:
         """Remember the words of ``texts`` (each a list of words)."""
         known, parts = self.words, self.parts
-        fresh = {w for t in texts for w in t if w not in known}
-        if len(known) + len(fresh) > REMEMBERED:
+        words = set().union(*texts)
+        if len(known) + len(words) > REMEMBERED:
             known.clear()
-            fresh = {w for t in texts for w in t}
+        fresh = words.difference(known)
         if len(parts) + 2 * len(fresh) > REMEMBERED:
             parts.clear()
         split: dict[str, tuple[str, str]] = {}
@@ -83,35 +84,30 @@ class WordTokenizer:
                 split[w] = core, tail
                 plain.add(core)
                 if tail and tail not in parts:
-                    parts[tail] = tuple(self.whole(tail))
+                    parts[tail] = self.whole(tail).tobytes()
             else:
                 other.append(w)
         todo = [p for p in plain if p not in parts]
         for i in range(0, len(todo), 512):
             some = todo[i:i + 512]
-            cut: list[list[int]] = [[]]
-            for x in self.whole(" ".join(some)):
-                cut[-1].append(x)
-                if x in self.ends:
-                    cut.append([])
-            if len(cut) != len(some) + 1:
-                cut = [self.whole(p) for p in some]
-            parts.update(zip(some, map(tuple, cut)))
+            ids = self.whole(" ".join(some))
+            cuts = [0, *((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()]
+            if len(cuts) == len(some) + 1:
+                raw = ids.tobytes()
+                parts.update((p, raw[a:b]) for p, a, b in zip(some, cuts, cuts[1:]))
+            else:
+                parts.update((p, self.whole(p).tobytes()) for p in some)
         for w, (core, tail) in split.items():
             known[w] = parts[core] + parts[tail] if tail else parts[core]
         for w in other:
-            known[w] = tuple(self.whole(w))
+            known[w] = self.whole(w).tobytes()
 
-    def ids(self, texts: list[str]) -> Iterator[array]:
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text; ``texts`` are few enough to have few distinct words."""
         split = [_ASCII_SPACE.split(t) if _ODD.search(t) else t.split() for t in texts]
         self.learn(split)
-        known = self.words
         for words in split:
-            out = array("I")
-            for w in words:
-                out.extend(known[w])
-            yield out
+            yield b"".join(map(self.words.__getitem__, words))
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -174,12 +170,11 @@ def pieces(docs: DataFrame, file: str | None = None, sequence: int = SEQUENCE,
         for b in common.text_batches(batches, limit=BATCH_BYTES):
             out: list[list] = [[] for _ in names]
             for doc, ids in zip(b["doc_id"].to_pylist(), tok.ids([t or "" for t in b["text"].to_pylist()])):
-                ids.append(END)
-                raw = memoryview(np.frombuffer(ids, np.uint32).astype("<u4").tobytes())
-                row += 1
-                for start in range(0, len(ids), sequence):
-                    length = min(sequence, len(ids) - start)
-                    for column, x in zip(out, (doc, start, length, zlib.crc32(raw[4 * start:4 * (start + length)]), len(ids), row)):
+                raw = memoryview(ids + END.to_bytes(4, "little"))
+                total, row = len(raw) // 4, row + 1
+                for start in range(0, total, sequence):
+                    length = min(sequence, total - start)
+                    for column, x in zip(out, (doc, start, length, zlib.crc32(raw[4 * start:4 * (start + length)]), total, row)):
                         column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names)
 
