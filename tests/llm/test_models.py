@@ -84,6 +84,53 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     assert got[(0, 0)] >= 0.7 * (got[(0, 0)] + got.get((0, 1), 0))
 
 
+def brute_left_out(trusted, rest, text):
+    """``brute_logp`` with the counts of ``rest`` and the discounts of all of ``trusted``."""
+    def grams(t):
+        s = [quality.BEGIN] * 3 + [ord(c) for c in t] + [quality.END]
+        return [tuple(s[i - 3:i + 1]) for i in range(3, len(s))]
+
+    def tables(texts):
+        out = {4: Counter(g for t in texts for g in grams(t))}
+        for k in (3, 2, 1):
+            out[k] = Counter(g[1:] for g in out[k + 1])
+        return out
+
+    d, counts = {}, tables(rest)
+    for k, c in tables(trusted).items():
+        t = Counter(c.values())
+        y = t[1] / (t[1] + 2 * t[2])
+        d[k] = [min(max(i - (i + 1) * y * t[i + 1] / t[i], 0), i) if t[i] else i / 2 for i in (1, 2, 3)]
+
+    def p(g):
+        k = len(g)
+        lower = p(g[1:]) if k > 1 else 1 / quality.SYMBOLS
+        ns = [n for h, n in counts[k].items() if h[:-1] == g[:-1]]
+        if not ns:
+            return lower
+        n = counts[k].get(g, 0)
+        gamma = sum(d[k][min(x, 3) - 1] for x in ns) / sum(ns)
+        return max(0, n - (d[k][min(n, 3) - 1] if n else 0)) / sum(ns) + gamma * lower
+
+    return sum(math.log(p(g)) for g in grams(text))
+
+
+def test_own_counts_taken_off(spark, monkeypatch):
+    """The threshold of few documents: a quantile of their perplexities, each without its own counts."""
+    rnd = random.Random(7)
+    texts = [" ".join(rnd.choice(["the", "cat", "sat", "on", "a", f"mat{rnd.randrange(30)}"]) for _ in range(rnd.randint(2, 20))) for _ in range(50)]
+    labels = spark.createDataFrame([(i, 1) for i in range(50)], "doc_id long, quality int")
+    got = quality.score(docs(spark, [(i, t, "en") for i, t in enumerate(texts)]), labels).collect()
+    counted = [i for i in range(50) if not quality.held_out(i)]
+    every = [brute_left_out([texts[j] for j in counted], [texts[j] for j in counted if j != i], t) for i, t in enumerate(texts)]
+    per = sorted(math.exp(-p / (len(t) + 1)) for p, t in zip(every, texts))
+    assert max(r["threshold"] for r in got) == pytest.approx(per[math.ceil(quality.QUANTILE * 50) - 1], rel=1e-5)
+    monkeypatch.setattr(quality, "ENOUGH", 1)
+    held = sorted(r["perplexity"] for r in got if quality.held_out(r["doc_id"]))
+    got = quality.score(docs(spark, [(i, t, "en") for i, t in enumerate(texts)]), labels).collect()
+    assert {r["threshold"] for r in got} == {held[math.ceil(quality.QUANTILE * len(held)) - 1]}
+
+
 # --- toxicity ----------------------------------------------------------------------
 
 def brute_segments(scores):
