@@ -53,6 +53,7 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "non-commercial", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC0-1.0", "public-domain", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", "public-domain", "This is free and unencumbered software released into the public domain."),
+    ("proprietary", "proprietary", "All rights reserved."),
     ("proprietary", "proprietary", "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher."),
 ]
 

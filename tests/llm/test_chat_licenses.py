@@ -85,3 +85,16 @@ def test_licenses_against_brute_force(spark):
             assert tuple(r)[1:] == brute_licenses(texts[r["doc_id"]]), texts[r["doc_id"]]
     assert [r["license"] for r in got if r["doc_id"] is None] == ["MIT"]
     assert licenses.scan(df.limit(0)).count() == 0
+
+
+def test_short_notices_are_found(spark):
+    """The licence lines of the tables, and what only looks like one."""
+    lines = {"This work is licensed under the GNU General Public License, version 3.": ("GPL-3.0", "copyleft"),
+             "All rights reserved.": ("proprietary", "proprietary"), "ALL RIGHTS RESERVED": ("proprietary", "proprietary"),
+             "Licensed under CC BY-NC 4.0.": ("CC-BY-NC-4.0", "non-commercial"), "Released under the MIT License.": ("MIT", "permissive"),
+             "Licensed under the Apache License, Version 2.0.": ("Apache-2.0", "permissive"), "All rights": (None, None)}
+    rows = [(i, f"Some words of prose.\n{line}\nand more words") for i, line in enumerate(lines)]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, want in enumerate(lines.values()):
+        assert (got[i]["license"], got[i]["kind"]) == want
+        assert got[i]["unit"] == (1 if want[0] else None)
