@@ -13,7 +13,9 @@ documents that the token scores have not seen.
 
 Only labelled documents whose crc32(doc_id) mod 5 is not 0 are learned from: 1 to 3 give
 token scores, 4 gives the calibration, at most ``MAX_TRAIN`` of each class and part (those
-with the smallest hashes of their ids); the model has at most ``MAX_TOKENS`` tokens. Every
+with the smallest hashes of their ids); where that leaves documents out, each one taken weighs as
+many as its class and part has for each taken, so the share of toxic ones stays that of all labels,
+whatever the size of the table. The model has at most ``MAX_TOKENS`` tokens. Every
 text is scored whole, and from its text alone.
 
 Defined results: null, empty and word-less texts have no segment, so no evidence; repeated rows each get their row; a null id counts as the empty text for
@@ -117,17 +119,18 @@ def _lambda(values: np.ndarray, counts: np.ndarray) -> float:
     return high
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and bias by Newton steps; both classes weigh as they occur, each with one
-    pseudo-count at its mean so that separable data stay finite."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and bias by Newton steps; both classes weigh as they occur in all labels, each
+    with one pseudo-count at its mean so that separable data stay finite."""
+    toxic, clean = float((weight * y).sum()), float((weight * (1 - y)).sum())
     center, scale = float(x.mean()), float(x.std()) or 1.0
     z = (x - center) / scale
-    target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
-    w, b = 0.0, float(np.log((y.sum() + 1) / ((1 - y).sum() + 1)))
+    target = np.where(y > 0, (toxic + 1) / (toxic + 2), 1 / (clean + 2))
+    w, b = 0.0, math.log((toxic + 1) / (clean + 1))
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(w * z + b, -30, 30)))
-        g = np.array([np.sum((p - target) * z) + 1e-3 * w, np.sum(p - target)])
-        v = p * (1 - p) + 1e-9
+        g = np.array([np.sum(weight * (p - target) * z) + 1e-3 * w, np.sum(weight * (p - target))])
+        v = weight * p * (1 - p) + 1e-9
         h = np.array([[np.sum(v * z * z) + 1e-3, np.sum(v * z)], [np.sum(v * z), np.sum(v)]])
         step = np.linalg.solve(h, g)
         step *= min(1.0, 5 / max(1e-9, np.abs(step).max()))
@@ -146,6 +149,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 .where("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
                 .withColumn("fold", common.crc_mod(F.col("doc_id"), FOLDS)).where("fold != 0"))
     part = F.when(F.col("fold") == FOLDS - 1, 1).otherwise(0)
+    # labels of a (class, part) for each one taken
+    weigh = {(r["y"], r["cal"]): max(1.0, r["n"] / MAX_TRAIN)
+             for r in labelled.groupBy("y", part.alias("cal")).agg(F.count("*").alias("n")).collect()}
     picked = None
     for y in (0, 1):
         for cal in (0, 1):
@@ -176,10 +182,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     table = common.written(table, "toxicity-tokens")
     n = table.where("token = ''").first()
     clean, toxic = (int(n["clean"]), int(n["toxic"])) if n else (0, 0)
-    base = toxic / max(1, clean + toxic)
+    per_clean, per_toxic = (weigh.get((y, 0), 1.0) for y in (0, 1))
+    every = per_clean * clean + per_toxic * toxic
+    base = per_toxic * toxic / max(1, every)
     if not clean or not toxic:
         return Model({}, 1.0, 1.0, 0.0, math.log(base / (1 - base)) if 0 < base < 1 else (30.0 if base else -30.0), base)
-    prior = F.lit(PRIOR) * (F.col("clean") + F.col("toxic")) / F.lit(clean + toxic)
+    prior = F.lit(PRIOR) * (per_clean * F.col("clean") + per_toxic * F.col("toxic")) / F.lit(every)
     odds = (F.log((F.col("toxic") + prior) / (F.lit(toxic + PRIOR) - F.col("toxic") - prior + 1))
             - F.log((F.col("clean") + prior) / (F.lit(clean + PRIOR) - F.col("clean") - prior + 1)))
     error = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
@@ -209,7 +217,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     y = np.array([r["y"] for r in rows], float)
     if 0 < y.sum() < len(y):
         x = np.array([model.evidence(r["n"], [(0, 0, s) for s in r["segments"]]) for r in rows])
-        model.slope, model.bias = _logistic(x, y)
+        model.slope, model.bias = _logistic(x, y, np.where(y > 0, weigh[1, 1], weigh[0, 1]))
         if model.slope <= 0:
             model.slope, model.bias = 0.0, math.log(base / (1 - base))
     return model

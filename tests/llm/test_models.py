@@ -189,6 +189,31 @@ def test_toxicity_held_out_and_odd_rows(spark):
     assert toxicity.score(d, none).where("predicted = 1").count() == 0
 
 
+def test_sample_size_leaves_share_flagged(spark, monkeypatch):
+    """A smaller sample cuts the clean class first; the class ratio learned stays the table's."""
+    rnd = random.Random(11)
+    rows, labels = [], []
+    for i in range(4000):
+        toxic = rnd.random() < 0.08
+        words = [f"w{rnd.randrange(200)}" for _ in range(rnd.randint(20, 60))]
+        for _ in range(rnd.choice([1, 2, 3, 4] if toxic else [0, 0, 0, 0, 0, 1, 2, 3])):
+            words.insert(rnd.randrange(len(words)), rnd.choice(["vile", "scum", "awful"]))
+        rows.append((i, " ".join(words), "en"))
+        labels.append((i, int(toxic)))
+    d, lab = docs(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+    def share():
+        model = toxicity.train(d, lab)
+        score = [model.probability(model.evidence(len(w), toxicity.segments(w, model.scores))) for w in (toxicity.tokens(t) for _, t, _ in rows)]
+        return float(np.mean(score)), float(np.mean(np.array(score) >= 0.5))
+
+    score, flagged = share()
+    monkeypatch.setattr(toxicity, "MAX_TRAIN", 200)
+    few_score, few_flagged = share()
+    assert abs(few_score - score) < 0.04 and abs(few_flagged - flagged) < 0.04, (score, flagged, few_score, few_flagged)
+    assert abs(score - 0.08) < 0.03
+
+
 # --- SimHash -----------------------------------------------------------------------
 
 def brute_simhash(text):
