@@ -131,6 +131,51 @@ def test_own_counts_taken_off(spark, monkeypatch):
     assert {r["threshold"] for r in got} == {held[math.ceil(quality.QUANTILE * len(held)) - 1]}
 
 
+def brute_words(trusted, text):
+    """Interpolated modified Kneser-Ney over word trigrams."""
+    def grams(t):
+        s = ["<", "<", *t.split(), ">"]
+        return [tuple(s[i - 2:i + 1]) for i in range(2, len(s))]
+
+    tables = {3: Counter(g for t in trusted for g in grams(t))}
+    for k in (2, 1):
+        tables[k] = Counter(g[1:] for g in tables[k + 1])
+    d = {}
+    for k, c in tables.items():
+        t = Counter(c.values())
+        y = t[1] / (t[1] + 2 * t[2]) if t[1] + t[2] else None
+        d[k] = [min(max(i - (i + 1) * y * t[i + 1] / t[i], 0), i) if t[i] and y is not None else i / 2 for i in (1, 2, 3)]
+
+    def p(g):
+        k = len(g)
+        lower = p(g[1:]) if k > 1 else 1 / quality.WORDS
+        ns = [n for h, n in tables[k].items() if h[:-1] == g[:-1]]
+        if not ns:
+            return lower
+        n = tables[k].get(g, 0)
+        gamma = sum(d[k][min(x, 3) - 1] for x in ns) / sum(ns)
+        return max(0, n - (d[k][min(n, 3) - 1] if n else 0)) / sum(ns) + gamma * lower
+
+    return math.exp(-sum(math.log(p(g)) for g in grams(text)) / len(grams(text)))
+
+
+def test_words_and_stutter(spark):
+    rnd = random.Random(12)
+    vocabulary = [f"{a}{b}" for a in ("the", "cat", "sat", "on", "mat") for b in ("", "s", "ing", "er", "ed", "ly")]
+    texts = [" ".join(rnd.choice(vocabulary) for _ in range(rnd.randint(30, 60))) for _ in range(60)]
+    junk = [" ".join(w for w in rnd.sample(vocabulary, 6) for _ in range(10)), "the cats " * 40]
+    labels = spark.createDataFrame([(i, 1) for i in range(60)], "doc_id long, quality int")
+    got = quality.score(docs(spark, [(i, t, "en") for i, t in enumerate(texts + junk)]), labels).collect()
+    trusted = [t for i, t in enumerate(texts) if not quality.held_out(i)]
+    for r in got:
+        text = (texts + junk)[r["doc_id"]]
+        words = text.split()
+        assert r["word_perplexity"] == pytest.approx(brute_words(trusted, text), rel=1e-4)
+        assert r["repeats"] == pytest.approx(sum(w in words[max(0, i - 4):i] for i, w in enumerate(words)) / (len(words) - 1))
+    assert sum(r["keep"] for r in got if r["doc_id"] < 60) >= 58
+    assert [r["keep"] for r in got if r["doc_id"] >= 60] == [0, 0]
+
+
 # --- toxicity ----------------------------------------------------------------------
 
 def brute_segments(scores):
