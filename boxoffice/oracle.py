@@ -597,7 +597,10 @@ union all
     q = Q()
     out["fact_rerun_day"] = q.sql(f"select {', '.join(FACT_COLS)} from {fact_platform(q)}")
     q = Q()
-    out["dim_rerun_day"] = q.sql(f"select * from {dim(q, 'customer')}")
+    out["dim_rerun_day"] = q.sql(" union all ".join(
+        f"select '{n}' entity, row_wid, cast({k} as bigint) src_id, createDt_id, UpdateDt_id from {dim(q, n)}"
+        for n, k in (("customer", "Src_cust_id"), ("venue", "src_Venue_id"), ("reseller", "src_res_id"),
+                     ("location", "src_loc_id"), ("event", "src_event_id"))))
     q = Q()
     out["fact_csv_load"] = q.sql(f"select * from {fact_file(q, 'csv')}")
     q = Q()

@@ -30,6 +30,7 @@ from boxoffice.sources.calendar import lookup_calendar
 from boxoffice.sources.tables import LOAD_COL, current_lookup, write_staging
 
 FACT_PART = "create_month"      # fact partitions: yyyymm of the sale's creation day
+INTAKE, FIRST_CHECK, LATER_CHECK = "intake", 0, 1     # whether a file row was staged at its first check or a later one
 
 STAGED_KEYS = {"customer": ["CustId"], "event": ["EventId"], "location": ["LocId"], "reseller": ["ResellerId"],
                "venue": ["VenueId"], "commission": ["EvntId", "ResId"], "transaction": ["TransId"]}
@@ -202,7 +203,7 @@ def stage_files(wh: Warehouse, kind: str, drop_dir: str, run_date: dt.date) -> N
     checks.assert_gate(checks.non_empty_gate({kind: feed}), ok_col="has_rows", what="file non-empty gate")
     flags = rules.rule_flags(feed, events, locations, run_date, resellers=resellers if kind == "xml" else None).persist()
     try:
-        staged = stage_valid(kind, flags, run_date)
+        staged = stage_valid(kind, flags, run_date).withColumn(INTAKE, F.lit(FIRST_CHECK))
         errors = rules.quarantine(flags, run_date)
         write_staging(staged, wh.path("staging", STAGED_FILES[kind]), day=run_date)
         _write_errors(wh, kind, errors, run_date)
@@ -245,12 +246,12 @@ def reprocess_files(wh: Warehouse, kind: str, feed: DataFrame, run_date: dt.date
     candidates = rules.reprocess_candidates(feed, earlier).persist()
     try:
         again = rules.rule_flags(candidates, events, locations, run_date, resellers=resellers if kind == "xml" else None)
-        passed = stage_valid(kind, again, run_date)
-        own = _day(wh, "staging", STAGED_FILES[kind], run_date, passed).select(passed.columns)
+        passed = stage_valid(kind, again, run_date).withColumn(INTAKE, F.lit(LATER_CHECK))
+        own = _day(wh, "staging", STAGED_FILES[kind], run_date, passed).filter(F.col(INTAKE) == FIRST_CHECK).select(passed.columns)
         closed = rules.mark_reprocessed(earlier, candidates, run_date)
         renewed = rules.quarantine(again, run_date).withColumn(LOAD_COL, F.lit(run_date))
         today = errors.filter(F.col(LOAD_COL) >= F.lit(run_date))
-        new_staged = own.unionByName(passed).distinct()
+        new_staged = own.unionByName(passed)             # in place of an earlier try's passed rows
         # both are written beside the tables they read, then swapped in
         wh.replace_partitions("staging", STAGED_FILES[kind], new_staged, LOAD_COL, [run_date])
         wh.replace("errors", kind, closed.unionByName(today).unionByName(renewed), partition_by=LOAD_COL)

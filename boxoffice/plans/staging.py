@@ -93,7 +93,7 @@ def xml_feed(ws: Workspace) -> DataFrame:
 
 
 def file_reseller(source_file: str = "source_file"):
-    return F.regexp_extract(F.col(source_file), files.SALES_FILE_PATTERN, 4).cast("bigint")
+    return F.regexp_extract(F.col(source_file), files.SALES_FILE_PATTERN, 4).try_cast("bigint")
 
 
 def lookups(ws: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:

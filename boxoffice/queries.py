@@ -253,9 +253,14 @@ def fact_rerun_day(ws):
 
 @query
 def dim_rerun_day(ws):
-    """Loading customer days again leaves the dimension as it was."""
-    staged = stg.staged(ws, "customer").filter(F.year(LOAD_COL) == 1996)
-    return dimplans.load_dimension(staged, wh.calendar(ws), dimplans.SPECS["customer"], existing=wh.dim(ws, "customer"))
+    """Loading every staged day again leaves each of the five dimensions as it was."""
+    parts = []
+    for name, spec in dimplans.SPECS.items():
+        ctx = {"location": wh.dim(ws, "location"), "venue": wh.dim(ws, "venue")}
+        again = dimplans.load_dimension(stg.staged(ws, name), wh.calendar(ws), spec, existing=wh.dim(ws, name), context=ctx)
+        parts.append(again.select(F.lit(name).alias("entity"), "row_wid", F.col(spec.dwh_key).cast("bigint").alias("src_id"),
+                                  "createDt_id", "UpdateDt_id"))
+    return _union(parts)
 
 
 @query

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +36,17 @@ def get_session(master: str | None = None, app: str = "boxoffice",
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the time of a block; the old one comes back afterwards."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 

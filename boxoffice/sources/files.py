@@ -66,12 +66,12 @@ SALES_FILE_PATTERN = r"DailySales_(\d{2})(\d{2})\d(\d{2})_(-?\d+)\.csv"
 
 def write_sales_csv(df: DataFrame, path: str) -> None:
     """One directory per feed file (``source_file=DailySales_…csv``), header on.
-    Rows are range-laid-out by (file, row hash): a small file is one part, a
-    large file is written by several tasks."""
-    from boxoffice.sources.tables import by_partition_value
-    (by_partition_value(df, "source_file")
-     .write.mode("overwrite").partitionBy("source_file")
-     .option("header", True).csv(path))
+    A small file is one part, a large file is written by several tasks."""
+    from boxoffice.sources.tables import by_partition_value, writers_per_core
+    with writers_per_core(df.sparkSession):
+        (by_partition_value(df, "source_file")
+         .write.mode("overwrite").partitionBy("source_file")
+         .option("header", True).csv(path))
 
 
 def source_name():

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from boxoffice.operators.changes import latest_per_key
+from boxoffice.session import setting
 
 LOAD_COL = "load_date"
-#: Estimated bytes a writing task gets; the estimate of a join can be far too high.
-WRITER_BYTES, MAX_WRITERS = 256 << 20, 100_000
 
 
 def change_versions(src: DataFrame, create="CreateDate", update="UpdateDate") -> DataFrame:
@@ -32,20 +31,18 @@ def change_versions(src: DataFrame, create="CreateDate", update="UpdateDate") ->
                       F.col("_v.d").alias(LOAD_COL))
 
 
-def by_partition_value(df: DataFrame, partition_col: str, num_partitions: int | None = None) -> DataFrame:
-    """Lay rows out for a write partitioned by ``partition_col``: a range
-    partitioning on (value, row hash) gives each task a contiguous run of
-    values, so a small day is one file, while a day holding a large share of
-    the rows is split over several tasks by the hash. There are at least as
-    many tasks as shuffle partitions or two per core, whichever is less (many
-    small folders take long in one writer), and more as the data grows, by
-    Catalyst's size estimate."""
-    spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    n = num_partitions or max(min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                                  2 * spark.sparkContext.defaultParallelism),
-                              min(size // WRITER_BYTES, MAX_WRITERS))
-    return df.repartitionByRange(n, F.col(partition_col), F.hash(*[F.col(c) for c in df.columns]))
+def by_partition_value(df: DataFrame, partition_col: str) -> DataFrame:
+    """Lay rows out for a write partitioned by ``partition_col``. Spark sizes the
+    writing tasks from the bytes that were really shuffled, never from an estimate
+    (a join's is the product of its sides): small values share a task and a value
+    that holds a large share of the rows is split over several."""
+    return df.hint("rebalance", F.col(partition_col))
+
+
+def writers_per_core(spark: SparkSession):
+    """Small writes of many folders take as long as their files take to create, not
+    as their bytes: within this block Spark keeps a task a core for them."""
+    return setting(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
 
 
 def drop_partition(spark: SparkSession, path: str, partition_col: str, value) -> None:
@@ -63,10 +60,11 @@ def write_staging(df: DataFrame, path: str, partition_col: str = LOAD_COL, day:
     ``df`` is for, its old rows also go if ``df`` is empty."""
     if day is not None and df.isEmpty():
         drop_partition(df.sparkSession, path, partition_col, day.isoformat())
-    (by_partition_value(df, partition_col).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col)
-     .parquet(path))
+    with writers_per_core(df.sparkSession):
+        (by_partition_value(df, partition_col).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col)
+         .parquet(path))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -11,7 +11,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boxoffice.session import shared_root
+from boxoffice.session import setting, shared_root
 
 DONE_MARKER = "_BOXOFFICE_DONE"
 LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
@@ -40,12 +40,8 @@ def few_listing_tasks(spark: SparkSession):
     """List day-partitioned tables, which have thousands of folders, with a few
     tasks a core instead of one task a folder; the session's setting comes back
     afterwards."""
-    old = spark.conf.get(LISTING, None)
-    spark.conf.set(LISTING, str(max(16, 2 * spark.sparkContext.defaultParallelism)))
-    try:
+    with setting(spark, LISTING, str(max(16, 2 * spark.sparkContext.defaultParallelism))):
         yield
-    finally:
-        spark.conf.unset(LISTING) if old is None else spark.conf.set(LISTING, old)
 
 
 class Workspace:
@@ -94,12 +90,12 @@ class Workspace:
         def build(p: str) -> None:
             df = make()
             if partition_by:
-                from boxoffice.sources.tables import by_partition_value
-                df = by_partition_value(df, partition_by)
-            w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-            if partition_by:
-                w = w.partitionBy(partition_by)
-            w.parquet(p)
+                from boxoffice.sources.tables import by_partition_value, writers_per_core
+                with writers_per_core(self.spark):
+                    (by_partition_value(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
+                     .partitionBy(partition_by).parquet(p))
+            else:
+                df.write.mode("overwrite").parquet(p)
         p = self.ensure(name, build)
         key = (self.spark.sparkContext.applicationId, p)
         if key not in _READS:

@@ -109,7 +109,8 @@ def test_file_name_gate(spark):
     assert a.file_date == D(2022, 8, 25) and a.reseller_id == 111222333 and not a.reseller_ok and not a.ok
     b = out["DailySales_0101000_5.csv"]
     assert b.date_ok and b.reseller_ok and b.ok
-    assert len(out) == 2
+    odd = out["other.csv"]                               # reported under its own name
+    assert len(out) == 3 and odd.file_date is None and not odd.ok
 
 
 def test_non_empty_gate(spark):
