@@ -1,6 +1,7 @@
 """The operators' registered queries, over whole tables with production parameters."""
 
-from boxoffice.llm import ann, bpe, chat, fingerprints, langid, licenses, packing, quality, simhash, toxicity
+from boxoffice.llm import (ann, bpe, centroids, chat, fertility, fingerprints, langid, licenses, packing, quality,
+                           simhash, spelling, toxicity)
 
 REGISTRY = {
     "op1_quality": quality.op1_quality,
@@ -13,9 +14,13 @@ REGISTRY = {
     "op8_language_id": langid.op8_language_id,
     "op9_nearest_neighbours": ann.op9_nearest_neighbours,
     "op10_byte_bpe": bpe.op10_byte_bpe,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_quality_rules": fertility.op12_quality_rules,
+    "op13_centroid_clustering": centroids.op13_centroid_clustering,
 }
 
 ORACLE_SQL = {
     "op2_chat_formatting": chat.OP2_SQL,
     "op4_license_scan": licenses.OP4_SQL,
+    "op13_centroid_clustering": centroids.OP13_SQL,
 }
