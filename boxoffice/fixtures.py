@@ -267,6 +267,26 @@ def f_geo_block(spark, sf_dir) -> DataFrame:
     )
 
 
+def f_geo_block_nested(spark, sf_dir) -> DataFrame:
+    """The blocks of ``f_geo_block``, in each /8 a /10 of the next nation and in that a /12 of
+    the one after, and one block over half of all addresses around them."""
+    n = table(spark, sf_dir, "nation")
+    b = n.select("n_nationkey", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("j"))
+    octet = (F.lit(10) + F.col("n_nationkey") * 8 + F.col("j")).cast("string")
+    inner = [b.select(F.concat(octet, F.lit(tail)).alias("network"), ((F.col("n_nationkey") + k) % 25 + 1000).alias("geoname_id"))
+             for k, tail in ((1, ".64.0.0/10"), (2, ".80.0.0/12"))]
+    wide = n.filter("n_nationkey = 24").select(F.lit("0.0.0.0/1").alias("network"), (F.col("n_nationkey") + 1000).alias("geoname_id"))
+    return f_geo_block(spark, sf_dir).unionByName(inner[0]).unionByName(inner[1]).unionByName(wide)
+
+
+def lossy_load(staged: DataFrame) -> DataFrame:
+    """What a faulty load would have staged of ``(month_id, TransId)``: single ids are lost, some come
+    that no source has, and one whole month is missing."""
+    t = F.col("TransId")
+    kept = staged.filter((t % 997 != 5) & (F.col("month_id") != 199803))
+    return kept.unionByName(staged.filter(t % 1499 == 7).withColumn("TransId", t + 1_000_000_000_000))
+
+
 def f_weblog6(spark, sf_dir) -> DataFrame:
     """Requests over IPv6: one per row of ``events``; every 50th address is malformed."""
     e = table(spark, sf_dir, "events")

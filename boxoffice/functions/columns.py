@@ -59,10 +59,11 @@ def ipv4_to_long(ip) -> Column:
 
 
 def cidr_bounds(network) -> tuple[Column, Column]:
-    """``a.b.c.d/len`` to the first and last address of the block."""
+    """``a.b.c.d/len`` to the first and last address of the block (NULL for malformed text)."""
     net = _c(network)
     addr = ipv4_to_long(F.split(net, "/").getItem(0))
     plen = F.try_element_at(F.split(net, "/"), F.lit(2)).try_cast("int")
+    plen = F.when(plen.between(0, 32), plen)
     size = F.pow(F.lit(2.0), F.lit(32) - plen).cast("long")
     start = addr - (addr % size)
     return start, start + size - 1

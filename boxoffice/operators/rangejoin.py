@@ -1,11 +1,20 @@
-"""J-9: network-contains-address lookup as an equi join on /16 buckets."""
+"""J-9: network-contains-address lookups.
+
+Disjoint blocks meet addresses by an equi join on /16 buckets. Nested blocks, of any width,
+are first flattened by a sweep line into disjoint ranges, each with its smallest
+block; ranges and distinct addresses, both dealt by the same borders and sorted, are then
+merged in one pass. A wide block is one row and a few more at borders, not one row a /16."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxoffice.functions.columns import cidr_bounds, ipv4_to_long, ipv6_groups, ipv6_prefix
+from boxoffice.operators.hotkeys import spread_join
 
 BUCKET_BITS = 16
 
@@ -33,24 +42,126 @@ def ip_range_lookup(df: DataFrame, ip_col: str, blocks: DataFrame, payload: list
     block. Payload columns are NULL when no block contains the address.
 
     Published block lists are disjoint, so one join suffices. With
-    ``nested=True`` blocks may nest: each distinct address is resolved once to
-    its longest prefix (smallest block), then joined back on the address, so
-    every row still gets at most one match.
+    ``nested=True`` blocks may nest: they are flattened to the longest prefix of
+    each address, so every row still gets at most one match.
     """
+    if nested:
+        return merge_ranges(df, ip_col, flatten_blocks(blocks, payload, network_col), payload)
     ranges = block_ranges(blocks, network_col).select(
         F.col("_bucket").alias("_rb"), "ip_start", "ip_end", *payload)
 
     ip = ipv4_to_long(ip_col)
-    if not nested:
-        addr = df.select("*", ip.alias("_ip")).withColumn("_bucket", F.shiftright("_ip", BUCKET_BITS))
-        return _bucket_join(addr, ranges).select(*df.columns, *payload)
-    ips = (df.select(ip.alias("_ip")).distinct()
-           .withColumn("_bucket", F.shiftright("_ip", BUCKET_BITS)))
-    size = F.col("ip_end") - F.col("ip_start")
-    best = (_bucket_join(ips, ranges)
-            .groupBy("_ip").agg(F.min(F.struct(size.alias("_s"), *[F.col(p) for p in payload])).alias("_b"))
-            .select("_ip", *[F.col(f"_b.{p}").alias(p) for p in payload]))
-    return df.select("*", ip.alias("_ip")).join(best, "_ip", "left").select(*df.columns, *payload)
+    # malformed addresses lie in buckets that no block has, each in one of many
+    spread = -1 - F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(1 << BUCKET_BITS))
+    addr = df.select("*", ip.alias("_ip")).withColumn("_bucket", F.coalesce(F.shiftright("_ip", BUCKET_BITS), spread))
+    return _bucket_join(addr, ranges).select(*df.columns, *payload)
+
+
+#: Blocks, and addresses, that a sweep or merge group gets on average; beyond the most groups they grow.
+GROUP_ROWS, MOST_GROUPS = 1 << 14, 1024
+TOP = 1 << 32
+
+
+def borders(places: DataFrame, groups: int) -> list[int]:
+    """Borders that cut each column of ``places`` into ``groups`` parts of about equal rows, and
+    the ends of the address space. As many as groups, however many rows there are."""
+    cuts = places.approxQuantile(places.columns, [i / groups for i in range(1, groups)], 0.5 / groups) if groups > 1 else []
+    return sorted({0, TOP, *(int(x) for column in cuts for x in column)})
+
+
+def _group_of(place: Column, cuts: list[int]) -> Column:
+    """Which stretch between borders a place lies in: a binary search in a balanced CASE."""
+    def pick(lo: int, hi: int) -> Column:
+        if hi - lo == 1:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(place < F.lit(cuts[mid]), pick(lo, mid)).otherwise(pick(mid, hi))
+
+    return pick(0, len(cuts) - 1)
+
+
+def _groups(rows: int) -> int:
+    return min(MOST_GROUPS, -(-rows // GROUP_ROWS))
+
+
+def flatten_blocks(blocks: DataFrame, payload: Sequence[str], network_col: str = "network") -> DataFrame:
+    """Disjoint ranges ``(ip_start, ip_end, *payload)`` that say for each address which is the
+    smallest block that contains it. Blocks are cut at borders between groups (networks nest, so
+    at most 33 contain a border) and each group is swept once in order, with the open
+    blocks on a stack. Of equal networks the one with the least payload counts; malformed networks
+    contain nothing."""
+    payload = list(payload)
+    start, end = cidr_bounds(network_col)
+    nets = blocks.select(start.alias("ip_start"), end.alias("ip_end"), *payload).where("ip_start is not null and ip_end is not null")
+    packed = F.min(F.struct(F.lit(0).alias("_"), *payload)).alias("p")
+    nets = nets.groupBy("ip_start", "ip_end").agg(packed).select("ip_start", "ip_end", *[F.col(f"p.{c}").alias(c) for c in payload])
+    cuts = borders(nets.select("ip_start"), _groups(nets.count()))
+    first, last = _group_of(F.col("ip_start"), cuts), _group_of(F.col("ip_end"), cuts)
+    # a border cuts nested blocks alike: their sizes before it tell which lies inside which
+    at = nets.withColumn("_size", F.col("ip_end") - F.col("ip_start")).withColumn("_group", F.explode(F.sequence(first, last)))
+    lows = F.array(*[F.lit(c) for c in cuts])
+    low, high = F.get(lows, F.col("_group")), F.get(lows, F.col("_group") + 1) - 1
+    cut = at.withColumn("ip_start", F.greatest("ip_start", low)).withColumn("ip_end", F.least("ip_end", high))
+
+    def sweep(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("ip_start", "ascending"), ("_size", "descending")])
+        starts, ends = table["ip_start"].to_pylist(), table["ip_end"].to_pylist()
+        out: list[tuple[int, int, int]] = []
+        open_: list[int] = []
+        place = 0
+
+        def close(until: int) -> None:
+            """Ranges up to ``until`` belong to the open blocks, the innermost first."""
+            nonlocal place
+            while open_ and place <= until:
+                reach = min(ends[open_[-1]], until)
+                if place <= reach:
+                    out.append((place, reach, open_[-1]))
+                    place = reach + 1
+                if ends[open_[-1]] <= until:
+                    open_.pop()
+                else:
+                    break
+
+        for i, s in enumerate(starts):
+            close(s - 1)
+            while open_ and ends[open_[-1]] < s:
+                open_.pop()
+            place = s
+            open_.append(i)
+        close(TOP)
+        a, b, owner = (list(x) for x in zip(*out)) if out else ([], [], [])
+        rows = table.take(pa.array(owner, pa.int64()))
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), *(rows[c] for c in payload)], names=["ip_start", "ip_end", *payload])
+
+    kinds = dict(nets.dtypes)
+    return cut.groupBy("_group").applyInArrow(sweep, "ip_start long, ip_end long, " + ", ".join(f"`{c}` {kinds[c]}" for c in payload))
+
+
+def merge_ranges(df: DataFrame, ip_col: str, ranges: DataFrame, payload: Sequence[str]) -> DataFrame:
+    """LEFT join every row to the range of ``flatten_blocks`` that holds its address. Each distinct
+    address is looked up once: addresses and range starts, dealt by the same borders, are
+    sorted together, and an address takes the last start before it. Rows of an address that many
+    rows have are joined back in pieces."""
+    payload = list(payload)
+    ips = df.select(ipv4_to_long(ip_col).alias("_ip")).where("_ip is not null").distinct()
+    places = ranges.select(F.col("ip_start").alias("a"), F.lit(None).cast("long").alias("b")).unionByName(
+        df.select(F.lit(None).cast("long").alias("a"), ipv4_to_long(ip_col).alias("b")))
+    most = places.agg(F.greatest(F.count("a"), F.count("b")).alias("n")).first()["n"]
+    cuts = borders(places, _groups(most))
+    lows = F.array(*[F.lit(c) for c in cuts])
+    cut = ranges.withColumn("_group", F.explode(F.sequence(_group_of(F.col("ip_start"), cuts), _group_of(F.col("ip_end"), cuts))))
+    kinds = dict(ranges.dtypes)
+    told = F.struct(F.col("ip_end").alias("_end"), *[F.col(c) for c in payload])
+    starts = cut.select("_group", F.greatest("ip_start", F.get(lows, F.col("_group"))).alias("_at"), F.lit(None).cast("long").alias("_ip"), told.alias("_range"))
+    none = "struct<_end:bigint," + ",".join(f"`{c}`:{kinds[c]}" for c in payload) + ">"
+    asked = ips.select(_group_of(F.col("_ip"), cuts).alias("_group"), F.col("_ip").alias("_at"), "_ip", F.lit(None).cast(none).alias("_range"))
+    order = Window.partitionBy("_group").orderBy("_at", F.col("_ip").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    merged = starts.unionByName(asked).withColumn("_range", F.last("_range", ignorenulls=True).over(order)).where("_ip is not null")
+    hit = merged.where("_ip <= _range._end").select(F.col("_ip").alias("_hit"), *[F.col(f"_range.{c}").alias(f"_p_{c}") for c in payload])
+    rows = df.withColumn("_ip", ipv4_to_long(ip_col))
+    out = spread_join(rows, hit, [("_ip", "_hit")], "left")
+    return out.select(*df.columns, *[F.col(f"_p_{c}").alias(c) for c in payload])
 
 
 def ipv6_prefix_lookup(df: DataFrame, ip_col: str, blocks: DataFrame, payload: list[str],
@@ -74,5 +185,5 @@ def ipv6_prefix_lookup(df: DataFrame, ip_col: str, blocks: DataFrame, payload: l
     row = F.struct("_len", *payload)
     best = cut.join(nets, ["_len", "_prefix"]).groupBy("_ip").agg(F.max(row).alias("_b"))
     known = ips.select("_ip", F.col("_g").isNotNull().alias("_ok")).join(best, "_ip", "left")
-    return df.join(known, F.col(ip_col) == F.col("_ip"), "left").select(
+    return spread_join(df, known, [(ip_col, "_ip")], "left").select(
         *[df[c] for c in df.columns], F.coalesce("_ok", F.lit(False)).alias("ip_ok"), *[F.col(f"_b.{p}").alias(p) for p in payload])

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from boxoffice.functions.columns import flag
 from boxoffice.operators.changes import scd1_update
-from boxoffice.operators.lookups import one_per_key
+from boxoffice.operators.hotkeys import spread_join
+from boxoffice.operators.lookups import left_lookup, one_per_key
 from boxoffice.sources.files import FEED_COLUMNS
 
 # Error comments written to the quarantine table (fixed values of the format).
@@ -25,10 +26,12 @@ ERROR_COLUMNS = ["transID", "comment", "reprocessed", "createDt", "updateDt"]
 
 
 def rule_flags(feed: DataFrame, events: DataFrame, locations: DataFrame, run_date: dt.date,
-               resellers: DataFrame | None = None) -> DataFrame:
+               resellers: DataFrame | None = None, hot_names: bool = False) -> DataFrame:
     """V-5 / J-8: every feed row with one 0/1 flag per rule.
 
-    Lookups are LEFT joins to lookups reduced to one row per key; a NULL anywhere in a rule counts as failed.
+    Lookups are LEFT joins to lookups reduced to one row per key, in which NULL keys
+    are spread; a NULL anywhere in a rule counts as failed. With ``hot_names`` event names are counted
+    first (one more scan of the feed) and rows of hot ones are dealt over many tasks.
     ``events`` is (EventName, TicketCost, CreateDate), ``locations`` (LocName),
     ``resellers`` (ResellerId), all current versions.
     """
@@ -36,15 +39,16 @@ def rule_flags(feed: DataFrame, events: DataFrame, locations: DataFrame, run_dat
         F.col("EventName").alias("_ev_name"), F.col("TicketCost").alias("_ev_cost"),
         F.col("CreateDate").alias("_ev_created"))
     loc = locations.select(F.col("LocName").alias("_loc_name")).distinct()
-    j = (feed.join(ev, feed["eventName"] == F.col("_ev_name"), "left")
-         .join(loc, feed["officeLoc"] == F.col("_loc_name"), "left"))
+    names = [("eventName", "_ev_name")]
+    j = spread_join(feed, ev, names, "left") if hot_names else left_lookup(feed, ev, names, "transID")
+    j = left_lookup(j, loc, [("officeLoc", "_loc_name")], "transID")
     flags = [
         flag(F.col("_ev_name").isNotNull()).alias("event_ok"),
         flag(F.col("_loc_name").isNotNull()).alias("location_ok"),
     ]
     if resellers is not None:
         res = resellers.select(F.col("ResellerId").alias("_res_id")).distinct()
-        j = j.join(res, feed["reseller_id"].cast("bigint") == F.col("_res_id"), "left")
+        j = left_lookup(j.withColumn("_res_key", F.col("reseller_id").try_cast("bigint")), res, [("_res_key", "_res_id")], "transID")
         flags.append(flag(F.col("_res_id").isNotNull()).alias("reseller_ok"))
     flags += [
         flag(F.col("Amount") == F.col("Purchased_ticket") * F.col("_ev_cost")).alias("valid_ticket"),

@@ -759,6 +759,19 @@ from ({src_sql}) s full outer join ({dst_sql}) d on s.date_dim_id = d.date_dim_i
   union all select sold_by, UpdateDt_id from {fa} where UpdateDt_id is not null and sold_by = 'platfrom'
     and (createDt_id is null or UpdateDt_id <> createDt_id)) x group by 1, 2""", group="sold_by"))
 
+    q = Q()
+    st = versions(q, "f_platform_transaction")
+    m = q.add("months", f"select distinct {did('load_date')} // 100 month_id, TransId from {st}")
+    lossy = q.add("lossy", f"""select * from {m} where TransId % 997 <> 5 and month_id <> 199803
+  union all select month_id, TransId + 1000000000000 from {m} where TransId % 1499 = 7""")
+    out["differing_keys"] = q.sql(f"""select month_id, TransId, 'missing' side from {m} anti join {lossy} using (month_id, TransId)
+union all select month_id, TransId, 'extra' from {lossy} anti join {m} using (month_id, TransId)""")
+    out["repeated_keys"] = "select l_orderkey, l_linenumber, count(*) n from lineitem group by all having count(*) > 1"
+    q = Q()
+    ev = current(q, "f_event")
+    out["hot_name_lookup"] = q.sql(f"""select f.transID, f.eventName, e.EventId, e.TicketCost from (
+  select transID, case when transID % 2 = 0 then 'Event#1' else eventName end eventName from {base(q, 'csv_feed')}) f
+left join {ev} e on e.EventName = f.eventName""")
     out["duplicate_lookup_keys"] = ("select p_name EventName, count(*) n from part group by p_name "
                                     "having count(*) > 1")
     out["weblog_load_check"] = "select cast(ts as date) log_date, count(*) n_rows from events group by 1"
@@ -771,6 +784,16 @@ from ({src_sql}) s full outer join ({dst_sql}) d on s.date_dim_id = d.date_dim_i
     out["product_dim_load"] = q.sql(f"select * from {products(q)}")
     q = Q()
     out["geoip_range_join"] = q.sql(f"select request, client_ip, country_name from {request_country(q)}")
+    q = Q()
+    w = base(q, "weblog")
+    nested = q.add("nested", """select cast(10 + n_nationkey * 8 + j as bigint) * 16777216 s, case when j = 7 then 8388608 else 16777216 end size, n_nationkey c
+  from nation, range(8) r(j)
+union all select cast(10 + n_nationkey * 8 + j as bigint) * 16777216 + 64 * 65536, 4194304, (n_nationkey + 1) % 25 from nation, range(7) r(j)
+union all select cast(10 + n_nationkey * 8 + j as bigint) * 16777216 + 80 * 65536, 1048576, (n_nationkey + 2) % 25 from nation, range(7) r(j)
+union all select 0, 2147483648, 24""")
+    out["geoip_nested"] = q.sql(f"""select request, client_ip, n_name country_name from (
+  select request, client_ip, c from {w} left join {nested} on {ip_long('client_ip')} >= s and {ip_long('client_ip')} < s + size
+  qualify row_number() over (partition by request order by size) = 1) x left join nation on n_nationkey = c""")
     out["geoip_ipv6"] = """select event_id, client_ip, ip_ok, n_name country_name from (
   select event_id, case when event_id % 50 = 0 then '2001:db8::1::2'
       else '2001:db8:' || lower(printf('%x', user_id % 256)) || '::' || lower(printf('%x', event_id % 65536)) end client_ip,

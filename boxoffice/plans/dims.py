@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from boxoffice.operators.changes import (created_on_load_day, first_per_key, insert_update_split,
                                          latest_per_key, scd1_update)
 from boxoffice.operators.keys import next_key_start, surrogate_key
-from boxoffice.operators.lookups import date_role
+from boxoffice.operators.lookups import date_role, left_lookup
 from boxoffice.sources.tables import LOAD_COL
 
 
@@ -107,8 +107,7 @@ def _event_lookups(df: DataFrame, ctx: dict) -> DataFrame:
                                                    F.col("row_wid").alias("LocKey"))
     vnu = ctx["venue"].select(F.col("src_Venue_id").alias("_vk"),
                                                 F.col("row_wid").alias("VenueKey"))
-    return (df.join(loc, df["LocId"] == loc["_lk"], "left")
-            .join(vnu, df["VenueId"] == vnu["_vk"], "left"))
+    return left_lookup(left_lookup(df, loc, [("LocId", "_lk")], "EventId"), vnu, [("VenueId", "_vk")], "EventId")
 
 
 EVENT = DimSpec(

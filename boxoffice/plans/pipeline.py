@@ -201,7 +201,7 @@ def stage_files(wh: Warehouse, kind: str, drop_dir: str, run_date: dt.date) -> N
                                for f in feed.schema.fields])
         checks.assert_gate(checks.schema_conformance(feed, declared), what="schema gate")
     checks.assert_gate(checks.non_empty_gate({kind: feed}), ok_col="has_rows", what="file non-empty gate")
-    flags = rules.rule_flags(feed, events, locations, run_date, resellers=resellers if kind == "xml" else None).persist()
+    flags = rules.rule_flags(feed, events, locations, run_date, resellers=resellers if kind == "xml" else None, hot_names=True).persist()
     try:
         staged = stage_valid(kind, flags, run_date).withColumn(INTAKE, F.lit(FIRST_CHECK))
         errors = rules.quarantine(flags, run_date)

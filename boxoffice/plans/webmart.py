@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxoffice.functions.columns import business_key, same_day
-from boxoffice.operators.checks import assert_gate, duplicate_lookup_keys
+from boxoffice.operators.checks import assert_gate
 from boxoffice.operators.keys import next_key_start, surrogate_key
+from boxoffice.operators.lookups import left_lookup
 from boxoffice.operators.rangejoin import ip_range_lookup
+from boxoffice.operators.uniqueness import repeated_keys
 
 SELLER, SUPPLIER = "Seller", "Supplier"
 CUSTOMER, COMPANY = "Customer", "Company"
@@ -60,9 +62,9 @@ def geo_blocks(blocks: DataFrame, locations: DataFrame) -> DataFrame:
 
 
 def request_country(weblog: DataFrame, blocks: DataFrame, locations: DataFrame) -> DataFrame:
-    """J-9: every request with the country of the network containing its
-    address (NULL when none does)."""
-    return ip_range_lookup(weblog, "client_ip", geo_blocks(blocks, locations), ["country_name"])
+    """J-9: every request with the country of the smallest network containing its
+    address (NULL when none does); networks may nest."""
+    return ip_range_lookup(weblog, "client_ip", geo_blocks(blocks, locations), ["country_name"], nested=True)
 
 
 def order_requests(weblog: DataFrame, blocks: DataFrame, locations: DataFrame,
@@ -102,7 +104,7 @@ def _unique(df: DataFrame, key: str, what: str) -> DataFrame:
     """A scalar lookup must not find two rows (J-12); fail like the database.
     NULL keys are never found, so they may repeat."""
     df = df.filter(F.col(key).isNotNull())
-    dups = duplicate_lookup_keys(df, [key]).limit(1).withColumn("ok", F.lit(False))
+    dups = repeated_keys(df, [key]).limit(1).withColumn("ok", F.lit(False))
     assert_gate(dups, what=f"lookup {what} has repeated {key}")
     return df
 
@@ -122,10 +124,8 @@ def order_fact(lines: DataFrame, products: DataFrame, customers_dim: DataFrame,
         F.col("req_src_id").alias("_rq_src"), "req_key")
     j = lines.withColumn("_p_id", F.coalesce("sp_prod_id", "slp_prod_id")) \
         .withColumn("_rq_id", business_key(F.coalesce("c_name", "cp_name"), F.col("created_at")))
-    j = j.join(p, j["_p_id"] == F.col("_p_src"), "left")
-    j = j.join(cu, j["customer_id"] == F.col("_cu_src"), "left")
-    j = j.join(co, j["customer_id"] == F.col("_co_src"), "left")
-    j = j.join(rq, j["_rq_id"] == F.col("_rq_src"), "left")
+    for lookup, a, b in ((p, "_p_id", "_p_src"), (cu, "customer_id", "_cu_src"), (co, "customer_id", "_co_src"), (rq, "_rq_id", "_rq_src")):
+        j = left_lookup(j, lookup, [(a, b)], "order_item_id")
     rows = j.select(
         F.col("created_at").alias("order_date"), "product_key", "end_user_type",
         F.when(F.col("end_user_type") == CUSTOMER, F.col("customer_key"))

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from boxoffice import fixtures as fx
 from boxoffice.functions.columns import date_id, same_day
-from boxoffice.operators import changes, checks, rules
+from boxoffice.operators import changes, checks, rules, setdiff, uniqueness
+from boxoffice.operators.hotkeys import spread_join
 from boxoffice.operators.keys import next_key_start, surrogate_key
+from boxoffice.operators.lookups import left_lookup
 from boxoffice.operators.rangejoin import ipv6_prefix_lookup
 from boxoffice.plans import dims as dimplans
 from boxoffice.plans import facts as factplans
@@ -283,7 +285,7 @@ def commission_lookup(ws):
     """J-5: current platform sales with the commission of (event, reseller)."""
     tx = stg.current(ws, "transaction").select("TransId", "EventId", "Reseller_id")
     com = stg.snapshot(ws, "commission").select("EvntId", "ResId", "Commission")
-    return tx.join(com, (tx["EventId"] == com["EvntId"]) & (tx["Reseller_id"] == com["ResId"]), "left") \
+    return left_lookup(tx, com, [("EventId", "EvntId"), ("Reseller_id", "ResId")], "TransId") \
         .select("TransId", "EventId", "Reseller_id", "Commission")
 
 
@@ -344,6 +346,14 @@ def rule_flags(ws):
     return stg.csv_flags(ws)
 
 
+@query
+def hot_name_lookup(ws):
+    """J-8 over a feed with half of its rows on one event name, dealt over many tasks."""
+    feed = stg.csv_feed(ws).select("transID", F.when(F.col("transID") % 2 == 0, F.lit("Event#1")).otherwise(F.col("eventName")).alias("eventName"))
+    events = stg.snapshot(ws, "event").select(F.col("EventName").alias("name"), "EventId", "TicketCost")
+    return spread_join(feed, events, [("eventName", "name")], "left").drop("name")
+
+
 @query
 def valid_rows(ws):
     return rules.valid_rows(stg.csv_flags(ws))
@@ -378,6 +388,14 @@ def reconcile_staging(ws):
                    .withColumn("entity", F.lit(e)) for e, (_, keys) in stg.ENTITIES.items()])
 
 
+@query
+def differing_keys(ws):
+    """V-7: which sales of a month a faulty load lost, and which it has without a source."""
+    month = (F.col("BatchId") / 100).cast("int").alias("month_id")
+    src = stg.source_versions(ws, "transaction").select(month, "TransId")
+    return setdiff.differing_keys(src, fx.lossy_load(stg.staged(ws, "transaction").select(month, "TransId")), ["month_id"], ["TransId"])
+
+
 @query
 def reconcile_file(ws):
     """V-7: both feeds."""
@@ -416,6 +434,12 @@ def duplicate_lookup_keys(ws):
     return checks.duplicate_lookup_keys(fx.f_event(ws.spark, ws.sf_dir, name_col="p_name"), ["EventName"])
 
 
+@query
+def repeated_keys(ws):
+    """V-9: keys of the line items that are not unique, by the two-pass filter."""
+    return uniqueness.repeated_keys(fx.table(ws.spark, ws.sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
 @query
 def weblog_load_check(ws):
     return checks.rows_per_day(wh.weblog(ws), "request_date")
@@ -445,6 +469,14 @@ def geoip_range_join(ws):
         .select("request", "client_ip", "country_name")
 
 
+@query
+def geoip_nested(ws):
+    """J-9 over nested networks of all widths: the smallest one counts."""
+    s, d = ws.spark, ws.sf_dir
+    return wm.request_country(wh.weblog(ws), fx.f_geo_block_nested(s, d), fx.f_geo_location(s, d)) \
+        .select("request", "client_ip", "country_name")
+
+
 @query
 def geoip_ipv6(ws):
     """J-9 over IPv6, nested blocks, malformed addresses reported."""

@@ -23,10 +23,14 @@ from boxoffice.sources import files
 from boxoffice.sources.tables import LOAD_COL
 
 
+#: Error comment of rows whose file is not named for the run date.
+ERR_FILE = "invalid_file_name"
+
+
 def feed_stream(spark: SparkSession, drop_dir: str, max_files_per_trigger: int = 1000) -> DataFrame:
     """Streaming scan of CSV files (header, declared schema) with the feed's
     column names and the file each row came from."""
-    raw = (spark.readStream.schema(files.CSV_SCHEMA).option("header", True)
+    raw = (spark.readStream.schema(files.CSV_SCHEMA).option("header", True).option("enforceSchema", False)
            .option("maxFilesPerTrigger", max_files_per_trigger).csv(drop_dir))
     cols = [F.col(f"`{f.name}`").alias(n) for f, n in zip(files.CSV_SCHEMA.fields, files.FEED_COLUMNS)]
     name = F.regexp_extract(F.col("_metadata.file_path"), files.SALES_FILE_PATTERN, 0)
@@ -48,12 +52,18 @@ def validate_batch(lookups: Callable[[], tuple[DataFrame, DataFrame]], run_date:
         day = run_date()
         ev, loc = lookups()
         flags = rules.rule_flags(batch, ev, loc, day).persist()
+        # V-4: a file's name must follow the pattern and be of the run date
+        dated = F.concat(*[F.regexp_extract("source_file", files.SALES_FILE_PATTERN, i) for i in (1, 2, 3)])
+        named = dated == F.lit(day.strftime("%m%d%y"))
         try:
-            res_id = F.regexp_extract(F.col("source_file"), files.SALES_FILE_PATTERN, 4).cast("bigint")
-            valid = rules.valid_rows(flags).select(*files.FEED_COLUMNS, res_id.alias("Reseller_id"),
+            res_id = F.regexp_extract(F.col("source_file"), files.SALES_FILE_PATTERN, 4).try_cast("bigint")
+            valid = rules.valid_rows(flags).filter(named).select(*files.FEED_COLUMNS, res_id.alias("Reseller_id"),
                                                    F.lit(day).alias(LOAD_COL)) \
                 .withColumn("BatchId", date_id(LOAD_COL))
-            for rows, path in ((valid, staging_path), (rules.quarantine(flags, day).withColumn(LOAD_COL, F.lit(day)), errors_path)):
+            strays = flags.filter(~named).select("transID", F.lit(ERR_FILE).alias("comment"), F.lit("N").alias("reprocessed"),
+                                                 F.lit(day).alias("createDt"), F.lit(None).cast("date").alias("updateDt"))
+            errors = rules.quarantine(flags.filter(named), day).unionByName(strays)
+            for rows, path in ((valid, staging_path), (errors.withColumn(LOAD_COL, F.lit(day)), errors_path)):
                 write_batch(rows, path, day, batch_id)
         finally:
             flags.unpersist()
