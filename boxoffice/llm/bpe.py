@@ -18,8 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import public_tokenizers
@@ -79,6 +78,11 @@ class Codec:
         with open(file, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.tokens = {i: t for t, i in self.ranks.items()}
+        # the tokens' bytes end to end, for decoding by one gather
+        size = max(self.tokens) + 1
+        self.token_size = np.array([len(self.tokens.get(i, b"")) for i in range(size)])
+        self.token_start = np.cumsum(self.token_size) - self.token_size
+        self.token_bytes = np.frombuffer(b"".join(self.tokens.get(i, b"") for i in range(size)), np.uint8)
         self.decimals = {i: str(i) for i in self.tokens}
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.queue = RankQueue(max(self.tokens) + 1)
@@ -88,11 +92,13 @@ class Codec:
         self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)])
         self.byte_pairs = np.array([[self.pairs.get(a << 32 | b, -1) for b in self.bytes.tolist()]
                                     for a in self.bytes.tolist()])
-        self.matches: dict[str, list[int]] = {}
-        self.words: dict[str, list[int]] = {}
+        #: ids of matches and words, as little-endian 32-bit bytes and as decimals joined by commas
+        self.matches: dict[str, tuple[bytes, str]] = {}
+        self.words: dict[str, bytes] = {}
+        self.texts: dict[str, str] = {}
 
-    def merge(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each match. The matches lie end to end in one list, with no pair
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all matches end to end, and where each match's begin and end. The matches lie end to end in one list, with no pair
         across a border, so they share the queue."""
         whole = np.frombuffer(b"".join(pieces), np.uint8)
         n = len(whole)
@@ -119,7 +125,7 @@ class Codec:
                     continue  # stale
                 lowest = rank
                 gone = after[i]
-                now[gone] = -1
+                now[gone] = ids[gone] = -1
                 ids[i] = rank
                 after[i] = follows = after[gone]
                 if follows >= 0:
@@ -150,16 +156,9 @@ class Codec:
                     else:
                         fill(rank, positions[k + 1:])
                     break
-        out = []
-        first = 0
-        for border in borders.tolist():
-            some, i = [], first
-            while i >= 0:
-                some.append(ids[i])
-                i = after[i]
-            out.append(some)
-            first = border
-        return out
+        ids = np.array(ids)
+        left = ids >= 0
+        return ids[left], np.concatenate([[0], np.cumsum(left)[borders - 1]])
 
     def learn(self, texts: list[list[str]]) -> None:
         """Remember the words of ``texts`` (each a list of words)."""
@@ -167,6 +166,7 @@ class Codec:
         every = set().union(*texts)
         if len(words) + len(every) > REMEMBERED:
             words.clear()
+            self.texts.clear()
         fresh = every.difference(words)
         split = {w: self.pattern.findall(w) for w in fresh}
         todo = {m for ms in split.values() for m in ms if m not in matches}
@@ -175,20 +175,37 @@ class Codec:
             todo = {m for ms in split.values() for m in ms}
         todo = sorted(todo)
         if todo:
-            matches.update(zip(todo, self.merge([m.encode() for m in todo])))
+            ids, bounds = self.merge([m.encode() for m in todo])
+            raw, decimals, bounds = ids.astype("<u4").tobytes(), list(map(self.decimals.__getitem__, ids.tolist())), bounds.tolist()
+            for m, a, b in zip(todo, bounds, bounds[1:]):
+                matches[m] = raw[4 * a:4 * b], ",".join(decimals[a:b])
         for w, ms in split.items():
-            words[w] = matches[ms[0]] if len(ms) == 1 else [i for m in ms for i in matches[m]]
-
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        """Ids of each text; ``texts`` are few enough to have few distinct words."""
+            if len(ms) == 1:
+                words[w], self.texts[w] = matches[ms[0]]
+            else:
+                parts = [matches[m] for m in ms]
+                words[w], self.texts[w] = b"".join([p[0] for p in parts]), ",".join([p[1] for p in parts])
+
+    def coded(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:
+        """Ids of each text, and the same as decimals joined by commas; ``texts`` are few
+        enough to have few distinct words."""
         split = [_words(t) for t in texts]
         self.learn(split)
-        known = self.words
+        ids, decimals = self.words.__getitem__, self.texts.__getitem__
         for words in split:
-            yield list(chain.from_iterable(map(known.__getitem__, words)))
+            yield np.frombuffer(b"".join(map(ids, words)), "<u4"), ",".join(map(decimals, words))
+
+    def encode(self, texts: list[str]) -> Iterator[list[int]]:
+        for ids, _ in self.coded(texts):
+            yield ids.tolist()
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: Sequence[int]) -> bytes:
+        ids = np.asarray(ids, np.int64)
+        size = self.token_size[ids]
+        end = np.cumsum(size)
+        if len(ids) == 0:
+            return b""
+        return self.token_bytes[np.repeat(self.token_start[ids] - end + size, size) + np.arange(end[-1])].tobytes()
 
 
 _SINGLE = re.compile(r"(?<=\S) (?=\S)")
@@ -217,17 +234,16 @@ def encode_decode(docs: DataFrame, file: str | None = None, id_col: str = "doc_i
     """Every row's id, number of token ids, SHA-256 of the ids (decimal, joined by
     commas) and of the bytes they decode to; ``with_ids`` adds the ids themselves."""
     common.ship(docs.sparkSession)
-    file = file or public_tokenizers.path(RANKS)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec(file)
+        coder = codec(file or public_tokenizers.path(RANKS))
         names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
         for b in common.text_batches(batches, limit=BATCH_BYTES):
             n, coded, decoded, every = [], [], [], []
-            for ids in coder.encode([t or "" for t in b["text"].to_pylist()]):
+            for ids, decimals in coder.coded([t or "" for t in b["text"].to_pylist()]):
                 n.append(len(ids))
-                coded.append(hashlib.sha256(",".join(map(coder.decimals.__getitem__, ids)).encode()).hexdigest())
+                coded.append(hashlib.sha256(decimals.encode()).hexdigest())
                 decoded.append(hashlib.sha256(coder.decode(ids)).hexdigest())
                 if with_ids:
                     every.append(ids)

@@ -161,12 +161,11 @@ def pieces(docs: DataFrame, file: str | None = None, sequence: int = SEQUENCE,
     """Tokenised pieces of at most ``sequence`` ids; no shuffle. ``row`` is the place
     of the document in its task, for dealing repeated rows apart."""
     common.ship(docs.sparkSession)
-    file = file or public_tokenizers.path(TOKENIZER)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "row"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, row = tokenizer(file), 0
+        tok, row = tokenizer(file or public_tokenizers.path(TOKENIZER)), 0
         for b in common.text_batches(batches, limit=BATCH_BYTES):
             out: list[list] = [[] for _ in names]
             for doc, ids in zip(b["doc_id"].to_pylist(), tok.ids([t or "" for t in b["text"].to_pylist()])):
