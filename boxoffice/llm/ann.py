@@ -7,7 +7,9 @@ query q the inner product with a vector o is estimated as |o| <q, code> / <o, co
 error is below |o||q| sqrt((1 - <o, code>^2) / <o, code>^2) E / sqrt(d - 1) with a
 probability that grows fast with E. A vector is reranked by its exact inner product if
 its upper bound reaches the k-th largest lower bound of the query, so the bounds, not a
-fixed number, choose how many are reranked.
+fixed number, choose how many are reranked. Estimates are of vectors of usual size: those with
+a largest component beyond ``USUAL``, whose products may leave the range of doubles,
+are compared exactly with all.
 
 Queries and candidates are dealt into blocks by hashes of their ids; each pair of blocks
 is one task group of bounded size, which scans packed codes and returns its best k for
@@ -35,6 +37,8 @@ EVERY = 20
 BOUND = 4.0
 SEED = 9
 QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 16384
+#: Largest components whose squares and products are doubles of full precision.
+USUAL = 1e-100, 1e100
 
 _ROTATIONS: dict[int, np.ndarray] = {}
 
@@ -48,11 +52,30 @@ def rotation(d: int) -> np.ndarray:
 
 def encode(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Packed signs, lengths, and inner products of unit vectors with their codes."""
-    length = np.sqrt((vectors * vectors).sum(axis=1))
-    turned = (vectors / length[:, None]) @ rotation(vectors.shape[1])
+    unit = vectors / np.abs(vectors).max(axis=1)[:, None]
+    size = np.sqrt((unit * unit).sum(axis=1))
+    turned = (unit / size[:, None]) @ rotation(vectors.shape[1])
+    with np.errstate(over="ignore"):
+        length = np.abs(vectors).max(axis=1) * size
     return np.packbits(turned >= 0, axis=1), length, np.abs(turned).sum(axis=1) / np.sqrt(vectors.shape[1])
 
 
+def usual(vectors: np.ndarray) -> np.ndarray:
+    most = np.abs(vectors).max(axis=1, initial=0)
+    return (most >= USUAL[0]) & (most <= USUAL[1])
+
+
+def products(o: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products in double precision; where a sum leaves the range, of vectors scaled to it."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        exact = (o * q).sum(axis=1)
+        odd = np.flatnonzero(~np.isfinite(exact))
+        if len(odd):
+            a, b = np.abs(o[odd]).max(axis=1), np.abs(q).max()
+            exact[odd] = ((o[odd] / a[:, None]) * (q / b)).sum(axis=1) * a * b
+    return exact
+
+
 def codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(id, d, vector, code, length, own): the index, over every valid vector."""
     common.ship(vectors.sparkSession)
@@ -92,8 +115,13 @@ def best(queries: pa.Table, candidates: pa.Table, k: int) -> tuple[np.ndarray, n
     length, own = candidates["length"].to_numpy(), np.maximum(candidates["own"].to_numpy(), 1e-12)
     packed = np.frombuffer(b"".join(candidates["code"].to_pylist()), np.uint8).reshape(len(oid), -1)
     signs = np.unpackbits(packed, axis=1, count=d).astype(np.float32) * 2 - 1
-    turned = (q @ rotation(d)).astype(np.float32)
-    qlength = np.sqrt((q * q).sum(axis=1))
+    plain, asked = usual(o), usual(q)
+    length = np.where(plain, length, 0.0)
+    # a query's own scale does not change the order of its products
+    own_q = np.where(asked[:, None], q, 0.0)
+    own_q = own_q / np.maximum(np.abs(own_q).max(axis=1, initial=0), USUAL[0])[:, None]
+    turned = (own_q @ rotation(d)).astype(np.float32)
+    qlength = np.sqrt((own_q * own_q).sum(axis=1))
     spread = length * np.sqrt(np.maximum(0, 1 - own * own)) / own * (BOUND / np.sqrt(max(1, d - 1)))
     # rounding of the 32-bit products
     spread = spread + length * 1e-5 * np.sqrt(d) / own
@@ -101,13 +129,15 @@ def best(queries: pa.Table, candidates: pa.Table, k: int) -> tuple[np.ndarray, n
     for i in range(0, len(qid), 64):
         estimate = (turned[i:i + 64] @ signs.T) * (length / (own * np.sqrt(d)))
         error = qlength[i:i + 64, None] * spread
-        estimate[qid[i:i + 64, None] == oid[None, :]] = -np.inf
-        low = estimate - error
+        error[:, ~plain] = np.inf
+        error[~asked[i:i + 64]] = np.inf
+        other = qid[i:i + 64, None] != oid[None, :]
+        low = np.where(other, estimate - error, -np.inf)
         kth = np.partition(low, len(oid) - k, axis=1)[:, len(oid) - k] if len(oid) > k else np.full(len(low), -np.inf)
-        near = (estimate + error >= kth[:, None]) & np.isfinite(estimate)
+        near = (estimate + error >= kth[:, None]) & other
         for r in range(len(low)):
             at = np.flatnonzero(near[r])
-            exact = (o[at] * q[i + r]).sum(axis=1)
+            exact = products(o[at], q[i + r])
             order = np.lexsort((oid[at], -exact))[:k]
             out.append((np.full(len(order), qid[i + r]), oid[at[order]], exact[order]))
     return tuple(np.concatenate(x) for x in zip(*out))

@@ -12,7 +12,8 @@ is 1 for equal digests and else 0.
 
 Defined results: a null text counts as empty; an empty text has fingerprint ``0::`` and
 equals other empty texts; texts of one to four words are one shingle; repeated rows each
-get their row; a null id sorts before all others; other columns are ignored."""
+get their row; a null id sorts before all others; of rows with equal ids the one with the
+smaller text comes first (null: empty); other columns are ignored."""
 
 from __future__ import annotations
 
@@ -29,8 +30,8 @@ from boxoffice.llm import common
 #: Words in a shingle, and the fraction of hashes kept (one in so many).
 SHINGLE = 5
 SCALE = 8
-#: Rows a range of ids should have.
-RANGE_ROWS = 8192
+#: Rows a range of ids should have, and most ranges: ranges are read as streams, so larger ones cost no memory.
+RANGE_ROWS, MOST_RANGES = 8192, 4096
 
 
 def sketches(column: pa.Array) -> list[tuple[str, np.ndarray]]:
@@ -87,13 +88,13 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """(bucket, sentinel, doc_id, text), sorted in each partition so that the row after
     a document is the next one by ascending id: ids are cut into ranges, and the first
     row of each range is also dealt, as a sentinel, to the end of the range before
-    (that of the first range to the last). Only one id a range reaches the driver."""
+    (that of the first range to the last). One id a range reaches the driver, of ``MOST_RANGES`` at most."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     ids = rows.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"))
     n = ids.count()
-    ranges = max(1, -(-n // RANGE_ROWS))
-    cuts = [] if ranges == 1 else ids.agg(F.percentile_approx("id", [k / ranges for k in range(1, ranges)], 100 * ranges)).first()[0]
+    ranges = max(1, min(MOST_RANGES, -(-n // RANGE_ROWS)))
+    cuts = [] if ranges == 1 else ids.agg(F.percentile_approx("id", [k / ranges for k in range(1, ranges)], 10 * ranges)).first()[0]
     cuts = np.array(sorted(set(cuts)), np.int64)
 
     @F.pandas_udf("long")
@@ -119,7 +120,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     dealt = rows.mapInArrow(deal, "bucket long, sentinel long, doc_id long, text string")
     wide = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ranges // 4)
-    return dealt.repartition(wide, "bucket").sortWithinPartitions("bucket", "sentinel", "doc_id")
+    return dealt.repartition(wide, "bucket").sortWithinPartitions("bucket", "sentinel", "doc_id", "text")
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

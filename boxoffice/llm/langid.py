@@ -4,8 +4,9 @@ A text's features are the shares of hashed character bigrams and trigrams over i
 lower-cased letters (all else is a word border). A multinomial logistic model predicts
 the language family; within it, one-versus-one linear support vector machines vote
 between its languages (most votes, then the largest sum of margins). Both are trained by
-Spark on a bounded sample: at most ``MAX_PER_LANGUAGE`` documents of a language (those
-with the smallest hashes of their ids) among those whose crc32(doc_id) mod 4 is not 2.
+Spark on a bounded sample of the documents whose crc32(doc_id) mod 4 is not 2: ``MAX_ROWS`` are
+shared out evenly among all languages, at most ``MAX_PER_LANGUAGE`` to each (those with
+the smallest hashes of their ids); every language is learned.
 Prediction reads whole texts and nothing else; all models are linear in the shares, so
 a text of any length costs one look-up per character and model.
 
@@ -21,15 +22,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxoffice.llm import common
 
 FOLDS, HELD_OUT = 4, 2
 MAX_PER_LANGUAGE = 1000
-#: Learned languages, those with most documents first.
-MAX_LANGUAGES = 64
+MAX_ROWS = 64_000
 DIMENSIONS = 1 << 13
 SCALE = 100.0
 
@@ -123,14 +123,17 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                        F.col(lang_col).cast("string").alias("lang"),
                        common.crc_mod(F.col(id_col), FOLDS).alias("fold"))
     known = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("fold") != HELD_OUT) & F.col("doc_id").isNotNull())
-    langs = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    if not langs:
+    # a row for each language: Spark broadcasts them if their files prove small
+    sizes = common.written(known.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    n_langs = sizes.count()
+    if not n_langs:
         return Model()
-    ids = None
-    for lang in langs:
-        some = known.where(F.col("lang") == lang).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_PER_LANGUAGE)
-        ids = some if ids is None else ids.union(some)
-    sample = known.join(F.broadcast(ids.distinct()), "doc_id")  # at most MAX_LANGUAGES x MAX_PER_LANGUAGE ids
+    quota = max(1, min(MAX_PER_LANGUAGE, MAX_ROWS // n_langs))
+    # hashes below a bound that lets through about four times the quota, of which the smallest count
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))
+    some = known.withColumn("place", place).join(sizes, "lang").where(F.col("place") * F.col("n") <= 4.0 * quota + 100)
+    first = Window.partitionBy("lang").orderBy("place", "doc_id", "text")
+    sample = some.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= quota).select("doc_id", "text", "lang")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

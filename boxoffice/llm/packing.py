@@ -2,8 +2,8 @@
 independently in randomised groups.
 
 Texts become token ids where they are read; only (id, start, length, checksum) rows are
-shuffled. A document longer than a sequence is cut into full sequences and a rest. The
-pieces are dealt at random into groups of about ``GROUP`` pieces, each of which is
+written. A document longer than a sequence is cut into full sequences, which need no packing,
+and a rest. The rests are dealt at random into groups of about ``GROUP`` pieces, each of which is
 packed alone: longest piece first, into the first bin that has room. The tree's leaves
 are the bins' free places and each inner node holds the larger of its two, so the first
 bin with room is found by one descent.
@@ -183,8 +183,10 @@ def pieces(docs: DataFrame, file: str | None = None, sequence: int = SEQUENCE,
 def pack(docs: DataFrame, file: str | None = None, sequence: int = SEQUENCE,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: where it lies in its document and in its sequence."""
-    groups = max(1, -(-docs.count() // GROUP))
-    dealt = pieces(docs, file, sequence, id_col, text_col).withColumn(
+    every = common.written(pieces(docs, file, sequence, id_col, text_col), "pieces")
+    full, rest = every.where(F.col("length") == sequence), every.where(F.col("length") < sequence)
+    groups = max(1, -(-rest.count() // GROUP))
+    dealt = rest.withColumn(
         "part", F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "start", "ids_crc32", "row"), F.lit(groups)))
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -194,7 +196,9 @@ def pack(docs: DataFrame, file: str | None = None, sequence: int = SEQUENCE,
         first = table["part"][0].as_py() << 32
         return pa.Table.from_arrays([*(table[n] for n in names[:5]), pa.array(placed[:, 0] + first), pa.array(placed[:, 1])], names)
 
-    return dealt.groupBy("part").applyInArrow(fill, ", ".join(f"{n} long" for n in names))
+    packed = dealt.groupBy("part").applyInArrow(fill, ", ".join(f"{n} long" for n in names))
+    alone = full.select(*names[:5], (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return packed.union(alone)
 
 
 def op5_packing(spark, sf_dir: str) -> DataFrame:

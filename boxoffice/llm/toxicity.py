@@ -15,7 +15,7 @@ Only labelled documents whose crc32(doc_id) mod 5 is not 0 are learned from: 1 t
 token scores, 4 gives the calibration, at most ``MAX_TRAIN`` of each class and part (those
 with the smallest hashes of their ids); where that leaves documents out, each one taken weighs as
 many as its class and part has for each taken, so the share of toxic ones stays that of all labels,
-whatever the size of the table. The model has at most ``MAX_TOKENS`` tokens. Every
+whatever the size of the table. Every
 text is scored whole, and from its text alone.
 
 Defined results: null, empty and word-less texts have no segment, so no evidence; repeated rows each get their row; a null id counts as the empty text for
@@ -41,7 +41,6 @@ from boxoffice.llm import common
 
 FOLDS = 5
 MAX_TRAIN = 10_000
-MAX_TOKENS = 50_000
 #: Documents that the prior weighs as much as; standard errors taken off a log-odds ratio.
 PRIOR = 500.0
 SIGMAS = 2.0
@@ -192,8 +191,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             - F.log((F.col("clean") + prior) / (F.lit(clean + PRIOR) - F.col("clean") - prior + 1)))
     error = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
     score = F.signum(odds) * F.greatest(F.lit(0.0), F.abs(odds) - SIGMAS * error)
-    top = (table.where("token != ''").select("token", score.alias("score")).where("score != 0")
-           .orderBy(F.abs("score").desc(), "token").limit(MAX_TOKENS).collect())
+    # the tokens of a bounded sample whose odds are beyond their error
+    top = table.where("token != ''").select("token", score.alias("score")).where("score != 0").collect()
     scores = {r["token"]: r["score"] - DRIFT for r in top}
 
     def calibrate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -217,3 +217,70 @@ def test_op13_equals_its_sql(spark):
     con.execute(f"create view embeddings as from '{SF}/embeddings.parquet'")
     want = con.execute(centroids.OP13_SQL).fetchall()
     assert sorted(map(tuple, centroids.op13_centroid_clustering(spark, SF).collect())) == sorted(want) and len(want) > 16
+
+
+# ------------------------------------------------------------------ earlier operators at their limits
+
+def test_neighbours_of_very_large_and_very_small_vectors(spark):
+    from boxoffice.llm import ann
+    rng = np.random.default_rng(7)
+    scales = [1e200, 1e-200, 1.0, 1.0, 1e150, 1e-120, 1e90]
+    rows = [(i, (rng.normal(size=8) * scales[i % 7]).tolist()) for i in range(140)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = ann.common.written(ann.codes(df), "codes")
+    got = {}
+    for r in ann.search(index, index.where("id % 20 = 0"), 20).collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert set(got) == set(range(0, 140, 20))
+    v = {i: np.array(x) for i, x in rows}
+    for q, found in got.items():
+        exact = {i: float(ann.products(x[None], v[q])[0]) for i, x in v.items() if i != q}
+        want = sorted(exact, key=lambda i: (-exact[i], i))[:20]
+        assert [i for i, _ in found] == want and [s for _, s in found] == [exact[i] for i in want]
+
+
+def test_next_document_of_repeated_ids_goes_by_text(spark):
+    from boxoffice.llm import fingerprints
+    rows = [(5, "b " * 20), (5, "a " * 20), (5, None), (6, "c " * 20), (4, "z " * 20)]
+    want, ordered = set(), sorted(((i, t or "") for i, t in rows))
+    for k, (i, t) in enumerate(ordered):
+        nxt = ordered[(k + 1) % len(ordered)][1]
+        want.add((i, len(t), hashlib.sha256((t[:len(t) - len(t) // 2] + nxt[:len(t) // 2]).encode()).hexdigest()))
+    got = fingerprints.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {(r.doc_id, r.n_chars, r.edited_sha256) for r in got.collect()} == want
+
+
+def test_full_pieces_need_no_packing(spark):
+    from boxoffice.llm import packing
+    rows = [(i, "word " * n) for i, n in enumerate([1, 5, 40, 200, 64, 63, 0])]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), sequence=16).collect()
+    used, pieces_of = {}, {}
+    for r in got:
+        used.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        pieces_of.setdefault(r.doc_id, []).append((r.start, r.length, r.doc_tokens))
+    for parts in used.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 16
+    for parts in pieces_of.values():
+        at = 0
+        for start, length, total in sorted(parts):
+            assert start == at
+            at += length
+        assert at == total
+    assert len(pieces_of) == 7
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    from boxoffice.llm import langid
+    words = {f"l{k:02d}": "".join(chr(97 + (k * 7 + j * 3) % 26) for j in range(5)) for k in range(70)}
+    rows = [(k * 10 + j, " ".join([w] * (5 + j)), lang) for k, (lang, w) in enumerate(words.items()) for j in range(4)]
+    monkeypatch.setattr(langid, "MAX_ROWS", 140)
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    learned = {x for names in model.members for x in names}
+    have = {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert learned == have and len(have) > 64
+    none = langid.identify(spark.createDataFrame([], "doc_id long, text string"), model)
+    assert none.count() == 0
