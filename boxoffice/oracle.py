@@ -602,6 +602,8 @@ union all
         for n, k in (("customer", "Src_cust_id"), ("venue", "src_Venue_id"), ("reseller", "src_res_id"),
                      ("location", "src_loc_id"), ("event", "src_event_id"))))
     q = Q()
+    out["dim_bucketed_load"] = q.sql(f"select * from {dim(q, 'customer')}")
+    q = Q()
     out["fact_csv_load"] = q.sql(f"select * from {fact_file(q, 'csv')}")
     q = Q()
     out["fact_xml_load"] = q.sql(f"select * from {fact_file(q, 'xml')}")
@@ -766,6 +768,10 @@ from ({src_sql}) s full outer join ({dst_sql}) d on s.date_dim_id = d.date_dim_i
   union all select month_id, TransId + 1000000000000 from {m} where TransId % 1499 = 7""")
     out["differing_keys"] = q.sql(f"""select month_id, TransId, 'missing' side from {m} anti join {lossy} using (month_id, TransId)
 union all select month_id, TransId, 'extra' from {lossy} anti join {m} using (month_id, TransId)""")
+    out["distinct_keys_by_month"] = q.sql(f"""select month_id, coalesce(s.n, 0) src_cnt, coalesce(d.n, 0) dst_cnt,
+  not exists (select 1 from {m} a anti join {lossy} b using (month_id, TransId) where a.month_id = month_id_)
+  and not exists (select 1 from {lossy} a anti join {m} b using (month_id, TransId) where a.month_id = month_id_) ok
+from (select month_id, month_id month_id_, count(*) n from {m} group by all) s full join (select month_id, count(distinct TransId) n from {lossy} group by all) d using (month_id)""")
     out["repeated_keys"] = "select l_orderkey, l_linenumber, count(*) n from lineitem group by all having count(*) > 1"
     q = Q()
     ev = current(q, "f_event")

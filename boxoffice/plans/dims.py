@@ -44,8 +44,9 @@ def _project(df: DataFrame, spec: DimSpec) -> DataFrame:
 
 
 def load_dimension(staged: DataFrame, calendar: DataFrame, spec: DimSpec,
-                   existing: DataFrame | None = None, context: dict | None = None) -> DataFrame:
-    """Load the staged days of a dimension.
+                   existing: DataFrame | None = None, context: dict | None = None, start: int | None = None) -> DataFrame:
+    """Load the staged days of a dimension. ``existing`` may be the part of the table that can hold
+    the staged keys; ``start`` is then the largest surrogate key of the whole table.
 
     * per day, one version per key (A-3);
     * versions created on their load day, updated since or not, are inserts if
@@ -70,7 +71,7 @@ def load_dimension(staged: DataFrame, calendar: DataFrame, spec: DimSpec,
             df = spec.extra(df, ctx)
         return _project(df, spec)
 
-    start = next_key_start(existing)
+    start = next_key_start(existing) if start is None else start
     new_rows = surrogate_key(enrich(ins, "left"), [LOAD_COL, spec.dwh_key], start=start).drop(LOAD_COL)
     target = new_rows if existing is None else existing.unionByName(new_rows)
     updates = latest_per_key(enrich(upd, spec.update_date_join), [spec.dwh_key], [LOAD_COL])

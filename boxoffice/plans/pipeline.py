@@ -21,13 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from boxoffice.functions.columns import date_id
-from boxoffice.operators import changes, checks, rules
+from boxoffice.operators import changes, checks, rules, setdiff
+from boxoffice.operators.keys import next_key_start
 from boxoffice.plans import dims as dimplans
 from boxoffice.plans import facts as factplans
 from boxoffice.plans.staging import stage_valid
 from boxoffice.sources import files
 from boxoffice.sources.calendar import lookup_calendar
-from boxoffice.sources.tables import LOAD_COL, current_lookup, write_staging
+from boxoffice.sources.tables import LOAD_COL, by_partition_value, current_lookup, write_staging, writers_per_core
 
 FACT_PART = "create_month"      # fact partitions: yyyymm of the sale's creation day
 INTAKE, FIRST_CHECK, LATER_CHECK = "intake", 0, 1     # whether a file row was staged at its first check or a later one
@@ -41,6 +42,15 @@ DIM_ORDER = ["venue", "reseller", "location", "customer", "event"]
 class Warehouse:
     spark: SparkSession
     root: str
+    #: Dimension tables are partitioned by a hash of their key into so many buckets.
+    dim_buckets: int = 64
+
+    @property
+    def dim_part(self) -> str:
+        return f"key_bucket_of_{self.dim_buckets}"
+
+    def bucket(self, key: str):
+        return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(self.dim_buckets)).cast("int")
 
     def path(self, kind: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{kind}/{name}"
@@ -101,8 +111,11 @@ class Warehouse:
         """Write the new state beside the old table, then swap it in."""
         p = self.path(kind, name)
         tmp = p + ".next"
+        if partition_by:
+            df = by_partition_value(df, partition_by)
         w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        (w.partitionBy(partition_by) if partition_by else w).parquet(tmp)
+        with writers_per_core(self.spark):
+            (w.partitionBy(partition_by) if partition_by else w).parquet(tmp)
         self._swap_in(p, tmp)
         return self.spark.read.parquet(p)
 
@@ -113,7 +126,9 @@ class Warehouse:
         partition folder is swapped in. Other partitions are not touched."""
         p = self.path(kind, name)
         tmp = p + ".next"
-        df.write.mode("overwrite").partitionBy(part_col).parquet(tmp)
+        with writers_per_core(self.spark):
+            by_partition_value(df, part_col).write.mode("overwrite").option("partitionOverwriteMode", "static") \
+                .partitionBy(part_col).parquet(tmp)
         fs, _ = self._fs(p)
         for v in values:
             target, new = f"{p}/{part_col}={v}", f"{tmp}/{part_col}={v}"
@@ -259,18 +274,35 @@ def reprocess_files(wh: Warehouse, kind: str, feed: DataFrame, run_date: dt.date
         candidates.unpersist()
 
 
+def load_dimension_part(wh: Warehouse, name: str, staged: DataFrame, cal: DataFrame, context: dict | None = None) -> DataFrame:
+    """Load staged rows into a dimension table, rewriting only the buckets that hold their keys. A key's
+    row, old or new, lies in its bucket, so the other buckets cannot change; only their largest
+    surrogate key is read. A table of another layout is rewritten whole, once."""
+    spec, part = dimplans.SPECS[name], wh.dim_part
+    table = wh.read("dwh", name)
+    if table is not None and part not in table.columns:
+        plain = table.drop(*[c for c in table.columns if c.startswith("key_bucket_of_")])
+        table = wh.replace("dwh", name, plain.withColumn(part, wh.bucket(spec.dwh_key)), partition_by=part)
+    touched = sorted(r["b"] for r in staged.select(wh.bucket(spec.key).alias("b")).distinct().collect() if r["b"] is not None)
+    if touched:
+        old = None if table is None else table.filter(F.col(part).isin(touched)).drop(part)
+        new = dimplans.load_dimension(staged, cal, spec, existing=old, context=context, start=next_key_start(table))
+        wh.replace_partitions("dwh", name, new.withColumn(part, wh.bucket(spec.dwh_key)), part, touched)
+        table = wh.read("dwh", name)
+    return None if table is None else table.drop(part)
+
+
 def load_warehouse(wh: Warehouse, run_date: dt.date, calendar_span: tuple[dt.date, dt.date]) -> None:
     """Entry 3: dimensions, then the three fact channels, for the run date."""
     cal = lookup_calendar(wh.spark, *calendar_span)
     loaded: dict[str, DataFrame] = {}
     for name in DIM_ORDER:
-        staged, existing = _day(wh, "staging", name, run_date), wh.read("dwh", name)
+        staged = _day(wh, "staging", name, run_date)
         if staged is None:
-            loaded[name] = existing
+            loaded[name] = wh.read("dwh", name)
             continue
         ctx = {"location": loaded.get("location"), "venue": loaded.get("venue")}
-        new = dimplans.load_dimension(staged, cal, dimplans.SPECS[name], existing=existing, context=ctx)
-        loaded[name] = wh.replace("dwh", name, new)
+        loaded[name] = load_dimension_part(wh, name, staged, cal, ctx)
     com = current(wh, "commission")
     if any(loaded[n] is None for n in DIM_ORDER) or com is None:
         return
@@ -321,7 +353,9 @@ def reconcile_or_rollback(wh: Warehouse, run_date: dt.date) -> None:
         bad = checks.reconcile_per_day(staged, date_id(LOAD_COL), [spec.key], touched, ["createDt_id", "UpdateDt_id"]) \
             .filter((F.col("date_dim_id") == day) & ~F.col("ok")).collect()
         if bad:
-            wh.replace("dwh", name, changes.rollback_day(dim, day))
+            buckets = [r[wh.dim_part] for r in touched.select(wh.dim_part).distinct().collect()]
+            if buckets:
+                wh.replace_partitions("dwh", name, changes.rollback_day(dim.filter(F.col(wh.dim_part).isin(buckets)), day), wh.dim_part, buckets)
             failed.append((name, [r.asDict() for r in bad]))
     fact = wh.read("dwh", "transaction")
     tx = _day(wh, "staging", "transaction", run_date)
@@ -334,6 +368,9 @@ def reconcile_or_rollback(wh: Warehouse, run_date: dt.date) -> None:
                                        touched, ["createDt_id", "UpdateDt_id"], group_cols=["sold_by"])
         bad = rec.filter((F.col("date_dim_id") == day) & ~F.col("ok")).collect()
         if bad:
+            # which sales the two sides do not share, for the message
+            differ = setdiff.differing_keys(tx.select("TransId"), touched.select(F.col("src_trans_id").alias("TransId")), [], ["TransId"])
+            failed.append(("differing sales", [r.asDict() for r in differ.orderBy("side", "TransId").limit(20).collect()]))
             kept = changes.rollback_day_channel(fact.filter(F.col(FACT_PART).isin(months)), day, factplans.SOLD_BY_PLATFORM)
             wh.replace_partitions("dwh", "transaction", kept, FACT_PART, months)
             failed.append((factplans.SOLD_BY_PLATFORM, [r.asDict() for r in bad]))

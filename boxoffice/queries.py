@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from boxoffice import fixtures as fx
 from boxoffice.functions.columns import date_id, same_day
-from boxoffice.operators import changes, checks, rules, setdiff, uniqueness
+from boxoffice.operators import changes, checks, rules, setdiff, sketches, uniqueness
 from boxoffice.operators.hotkeys import spread_join
 from boxoffice.operators.keys import next_key_start, surrogate_key
 from boxoffice.operators.lookups import left_lookup
 from boxoffice.operators.rangejoin import ipv6_prefix_lookup
 from boxoffice.plans import dims as dimplans
 from boxoffice.plans import facts as factplans
+from boxoffice.plans import pipeline
 from boxoffice.plans import staging as stg
 from boxoffice.plans import warehouse as wh
 from boxoffice.plans import webmart as wm
@@ -265,6 +266,17 @@ def dim_rerun_day(ws):
     return _union(parts)
 
 
+@query
+def dim_bucketed_load(ws):
+    """The customer dimension after three loads, each rewriting the buckets of its keys."""
+    house = pipeline.Warehouse(ws.spark, ws.path("roundtrip/buckets"))
+    staged = stg.staged(ws, "customer")
+    for first, end in ((1990, 199507), (199507, 199601), (199601, 209901)):
+        month = F.year(LOAD_COL) * 100 + F.month(LOAD_COL)
+        dim = pipeline.load_dimension_part(house, "customer", staged.filter((month >= first) & (month < end)), wh.calendar(ws))
+    return dim
+
+
 @query
 def fact_csv_load(ws):
     return wh.csv_fact(ws)
@@ -388,6 +400,18 @@ def reconcile_staging(ws):
                    .withColumn("entity", F.lit(e)) for e, (_, keys) in stg.ENTITIES.items()])
 
 
+@query
+def distinct_keys_by_month(ws):
+    """A-2 over every month: distinct sales of the source and of a faulty load, from stored daily
+    sketches; months that these leave open are counted again."""
+    src = stg.source_versions(ws, "transaction").select("BatchId", "TransId")
+    month = lambda day: (day / 100).cast("int")
+    lossy = fx.lossy_load(stg.staged(ws, "transaction").select("BatchId", month(F.col("BatchId")).alias("month_id"), "TransId")).drop("month_id")
+    stored = [ws.parquet(f"sketches/{name}", lambda rows=rows: sketches.daily_sketches(rows, "BatchId", ["TransId"], lg=8))
+              for name, rows in (("source", src), ("lossy", lossy))]
+    return sketches.gate_periods(*stored, src, lossy, "BatchId", month, ["TransId"], lg=8).withColumnRenamed("period", "month_id")
+
+
 @query
 def differing_keys(ws):
     """V-7: which sales of a month a faulty load lost, and which it has without a source."""

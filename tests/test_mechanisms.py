@@ -132,3 +132,51 @@ def test_the_first_pass_sends_a_few_bytes_a_key(spark):
     assert sent < 4 * 400_000
     hot = spark.range(400_000, numPartitions=4).select(F.lit("same").alias("k"))
     assert uniqueness.stretches(hot, ["k"], 0).agg(F.sum(F.length("places")).alias("n")).first()["n"] < 100
+
+
+def test_only_buckets_of_the_day_are_rewritten(spark, tmp_dir):
+    import datetime as dt
+    import glob
+
+    from boxoffice.plans import dims, pipeline
+    from boxoffice.sources.calendar import lookup_calendar
+
+    d1, d2 = dt.date(2020, 1, 1), dt.date(2020, 1, 2)
+    schema = "VenueId long, VenueName string, CreateDate date, UpdateDate date, load_date date"
+    one = spark.createDataFrame([(i, f"v{i}", d1, None, d1) for i in range(300)], schema)
+    two = spark.createDataFrame([(300, "new", d2, None, d2), (7, "changed", d1, d2, d2)], schema)
+    cal = lookup_calendar(spark, d1, dt.date(2020, 12, 31))
+    house = pipeline.Warehouse(spark, tmp_dir + "/part", dim_buckets=16)
+    files_of = lambda: {f: f.split("key_bucket_of_16=")[1].split("/")[0] for f in glob.glob(tmp_dir + "/part/dwh/venue/*/*.parquet")}
+    pipeline.load_dimension_part(house, "venue", one, cal)
+    before = files_of()
+    for _ in range(2):                                    # and again
+        dim = pipeline.load_dimension_part(house, "venue", two, cal)
+    after = files_of()
+    touched = {str(r["b"]) for r in two.select(house.bucket("VenueId").alias("b")).collect()}
+    assert {f for f, b in before.items() if b not in touched} == {f for f, b in after.items() if b not in touched}
+    assert len(set(before.values()) - touched) >= 14 and not {f for f, b in before.items() if b in touched} & set(after)
+    whole = dims.load_dimension(two, cal, dims.VENUE, existing=dims.load_dimension(one, cal, dims.VENUE))
+    assert sorted(map(repr, dim.select(whole.columns).collect())) == sorted(map(repr, whole.collect()))
+    other = pipeline.Warehouse(spark, tmp_dir + "/part", dim_buckets=4)          # another layout
+    again = pipeline.load_dimension_part(other, "venue", two, cal)
+    assert sorted(map(repr, again.select(whole.columns).collect())) == sorted(map(repr, whole.collect()))
+
+
+@pytest.mark.parametrize("lg", [4, 12])
+def test_sketches_gate_months_like_exact_counts(spark, lg):
+    from boxoffice.operators import sketches
+    src = spark.range(6000).select((F.lit(20200100) + F.col("id") % 3 * 100 + F.col("id") % 28 + 1).alias("day"),
+                                   F.when(F.col("id") % 500 != 7, F.col("id")).alias("k"))
+    dst = src.where("k is null or k % 3 != 1 or k % 1000 != 1").union(src.limit(5)).union(spark.sql("select 20200505L, 1L"))
+    month = lambda d: (d / 100).cast("int")
+    a, b = (sketches.daily_sketches(x, "day", ["k"], lg) for x in (src, dst))
+    got = {r.period: (r.src_cnt, r.dst_cnt, r.ok) for r in sketches.gate_periods(a, b, src, dst, "day", month, ["k"], lg).collect()}
+    sets = [{}, {}]
+    for s, df in zip(sets, (src, dst)):
+        for r in df.collect():
+            s.setdefault(r.day // 100, set()).add(r.k)
+    want = {m: (len(sets[0].get(m, ())), len(sets[1].get(m, ())), sets[0].get(m) == sets[1].get(m)) for m in set(sets[0]) | set(sets[1])}
+    assert got == want and {v[2] for v in want.values()} == {True, False}
+    left = sketches.gate_sketches(a, b, month(F.col("day")), lg).where("ok is null").count()
+    assert (left == 0) == (lg == 12)                      # sketches alone decide while they are exact
