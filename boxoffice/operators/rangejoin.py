@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from boxoffice.functions.columns import cidr_bounds, ipv4_to_long, ipv6_groups, ipv6_prefix
 from boxoffice.operators.hotkeys import spread_join
+from boxoffice.session import ship
 
 BUCKET_BITS = 16
 
@@ -91,6 +92,7 @@ def flatten_blocks(blocks: DataFrame, payload: Sequence[str], network_col: str =
     blocks on a stack. Of equal networks the one with the least payload counts; malformed networks
     contain nothing."""
     payload = list(payload)
+    ship(blocks.sparkSession)
     start, end = cidr_bounds(network_col)
     nets = blocks.select(start.alias("ip_start"), end.alias("ip_end"), *payload).where("ip_start is not null and ip_end is not null")
     packed = F.min(F.struct(F.lit(0).alias("_"), *payload)).alias("p")

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxoffice.scratch import written
+from boxoffice.session import ship
 
 PARTS = 3
 #: Cells of each part of a group's table.
@@ -113,6 +114,7 @@ def differing_keys(src: DataFrame, dst: DataFrame, by: Sequence[str], keys: Sequ
     """(*by, *keys, side): the distinct keys of a group that only ``src`` has (missing) or only
     ``dst`` (extra). NULL keys and groups compare as equal to each other."""
     by, keys = list(by), list(keys)
+    ship(src.sparkSession)
     src, dst = src.select(*by, *keys), dst.select(*by, *keys)
     marks = written(decode(difference_table(src, dst, by, keys, cells), by, cells), "differing")
     marks = marks.select(*[F.col(b).alias(f"_{b}") for b in by], F.col("element").alias("_element"))

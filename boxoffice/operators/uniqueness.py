@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxoffice.scratch import written
+from boxoffice.session import ship
 
 PLACE_BITS = 40
 #: Keys of a stretch of the filter, on average, and places that a task holds before it sends them on.
@@ -88,6 +89,7 @@ def repeated_places(sent: DataFrame, bits: int) -> DataFrame:
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(*keys, n): keys of more than one row; NULL keys compare as equal to each other."""
     keys = list(keys)
+    ship(df.sparkSession)
     slim = df.select(*keys)
     bits = max(0, (slim.count() // STRETCH).bit_length())
     # as few as the repeated keys: Spark broadcasts them if their files prove small

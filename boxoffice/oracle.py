@@ -657,6 +657,27 @@ union all select 'weblog', (select count(*) > 0 from {w})""")
     out["schema_conformance"] = q.sql(
         "select *, nulls = 0 and bad_casts = 0 ok from (" + "\nunion all\n".join(parts) + ") x")
 
+    q = Q()
+    cf = base(q, "csv_feed")
+    columns = [("Transaction ID", "transID", "bigint", False, "int bigint"), ("Event name", "eventName", "string", False, None),
+               ("Number of purchased tickets", "Purchased_ticket", "int", False, "int"), ("Total amount", "Amount", "double", True, "int bigint double"),
+               ("Sales channel(office,web,mobile web)", "channel", "string", False, None), ("Customer first name", "custFirstName", "string", False, None),
+               ("Customer last name", "custLastName", "string", True, None), ("Office Location", "officeLoc", "string", True, None),
+               ("Created_date", "createDate", "date", False, "date")]
+    values = q.add("feed_values", "\nunion all\n".join(
+        f"select source_file, '{h}' column_name, cast({c} as varchar) v, '{t}' declared, {null} may_be_null, '{fits or '*'}' fits from {cf}"
+        for h, c, t, null, fits in columns))
+    found = q.add("feed_types", f"""select source_file, column_name, declared, may_be_null, fits, count(v) n_values, count(v) < count(*) nullable,
+  case when count(v) = 0 then 'void'
+    when count_if(lower(v) in ('true', 'false')) = count(v) then 'boolean'
+    when count_if(regexp_full_match(v, '[+-]?[0-9]{{1,18}}') and try_cast(v as integer) is not null) = count(v) then 'int'
+    when count_if(regexp_full_match(v, '[+-]?[0-9]{{1,18}}')) = count(v) then 'bigint'
+    when count_if(regexp_full_match(v, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')) = count(v) then 'double'
+    when count_if(regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') and try_cast(v as date) is not null) = count(v) then 'date'
+    else 'string' end type_name from {values} group by all""")
+    out["schema_drift"] = q.sql(f"""select source_file, column_name, type_name, declared, nullable, n_values,
+  (fits = '*' or type_name = 'void' or list_contains(string_split(fits, ' '), type_name)) and (may_be_null or not nullable) ok from {found}""")
+
     q = Q()
     cf = base(q, "csv_feed")
     res = current(q, "f_reseller")

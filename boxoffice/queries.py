@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from boxoffice import fixtures as fx
 from boxoffice.functions.columns import date_id, same_day
-from boxoffice.operators import changes, checks, rules, setdiff, sketches, uniqueness
+from boxoffice.operators import changes, checks, rules, schemadrift, setdiff, sketches, uniqueness
 from boxoffice.operators.hotkeys import spread_join
 from boxoffice.operators.keys import next_key_start, surrogate_key
 from boxoffice.operators.lookups import left_lookup
@@ -341,6 +341,15 @@ def schema_conformance(ws):
     return checks.schema_conformance(raw, files.CSV_SCHEMA)
 
 
+@query
+def schema_drift(ws):
+    """V-3: the narrowest type of each column of each feed file, and whether it fits the declared one."""
+    raw = files.read_sales_csv(ws.spark, stg.csv_feed_path(ws), typed=False).select("*", files.source_name())
+    counts = schemadrift.type_counts(raw, ["source_file"], [f.name for f in files.CSV_SCHEMA.fields])
+    return schemadrift.drift(schemadrift.narrowest(counts), files.CSV_SCHEMA) \
+        .select("source_file", "column_name", "type_name", "declared", "nullable", "ok", "n_values")
+
+
 @query
 def column_presence(ws):
     return checks.column_presence(files.read_headers(ws.spark, stg.csv_feed_path(ws)), files.CSV_SCHEMA) \

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import zipfile
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -47,6 +50,29 @@ def setting(spark: SparkSession, key: str, value: str):
         spark.conf.unset(key) if old is None else spark.conf.set(key, old)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors (as --py-files does), once per application: Python
+    functions that run there find it. The driver's copy goes when the driver ends."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp()
+    atexit.register(shutil.rmtree, folder, True)
+    target = os.path.join(folder, "boxoffice_code.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for where, _, names in sorted(os.walk(top)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(where, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType, TimestampNTZType)
 
+from boxoffice.sources.xmlrows import xml_rows
+
 # Header layout of a reseller's daily sales file (fixed by the feed format).
 # Office Location holds a location name, so it is text (the reference declared
 # it integer but compared it with names).
@@ -113,14 +115,10 @@ def write_sales_xml(df: DataFrame, path: str, files: int | None = None) -> None:
 
 
 def read_sales_xml(spark: SparkSession, path: str) -> DataFrame:
-    """S-4: nested XML rows (row tag ``xml``) with the declared schema. The files
-    are read as text that ends rows at the closing tag, so one large file is
-    split over many tasks."""
-    text = spark.read.option("lineSep", f"</{XML_ROW_TAG}>").text(path)
-    row = F.regexp_extract("value", rf"(?s)<{XML_ROW_TAG}[\s>].*$", 0)
-    parsed = text.select(row.alias("row")).filter(F.col("row") != "") \
-        .select(F.from_xml(F.concat("row", F.lit(f"</{XML_ROW_TAG}>")), XML_SCHEMA, {"rowTag": XML_ROW_TAG}).alias("r"))
-    return parsed.select("r.*")
+    """S-4: nested XML rows (row tag ``xml``) with the declared schema. One large file is
+    split over many tasks, at its rows' true borders."""
+    rows = xml_rows(spark, path, XML_ROW_TAG)
+    return rows.select(F.from_xml("row", XML_SCHEMA, {"rowTag": XML_ROW_TAG}).alias("r")).select("r.*")
 
 
 def flatten_xml(df: DataFrame) -> DataFrame:

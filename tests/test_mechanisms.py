@@ -180,3 +180,70 @@ def test_sketches_gate_months_like_exact_counts(spark, lg):
     assert got == want and {v[2] for v in want.values()} == {True, False}
     left = sketches.gate_sketches(a, b, month(F.col("day")), lg).where("ok is null").count()
     assert (left == 0) == (lg == 12)                      # sketches alone decide while they are exact
+
+
+def test_types_of_files_join_upwards(spark):
+    from pyspark.sql import types as T
+
+    from boxoffice.operators import schemadrift
+    rows = [("a", "1", "true", "2020-01-01", None, "1"), ("a", "-7", "FALSE", "2020-02-29", None, "x"),
+            ("b", "3000000000", "true", "2020-01-01 10:00:00", None, "1"), ("b", None, "false", "2020-01-02", None, "2"),
+            ("c", "1.5e3", "1", "2020-02-30", None, "3"), ("c", ".5", "0", "2020-01-01", None, "3")]
+    df = spark.createDataFrame(rows, "f string, n string, b string, d string, e string, s string")
+    counts = schemadrift.type_counts(df, ["f"], ["n", "b", "d", "e", "s"])
+    got = {(r.f, r.column_name): r.type_name for r in schemadrift.narrowest(counts).collect()}
+    assert [got[f, "n"] for f in "abc"] == ["int", "bigint", "double"]
+    assert [got[f, "b"] for f in "abc"] == ["boolean", "boolean", "int"]
+    assert [got[f, "d"] for f in "abc"] == ["date", "timestamp", "string"]
+    assert [got[f, "e"] for f in "abc"] == ["void"] * 3 and [got[f, "s"] for f in "abc"] == ["string", "int", "int"]
+    whole = schemadrift.narrowest(schemadrift.joined(counts))
+    assert {r.column_name: r.type_name for r in whole.collect()} == {"n": "double", "b": "string", "d": "string", "e": "void", "s": "string"}
+    direct = schemadrift.narrowest(schemadrift.type_counts(df, [], ["n", "b", "d", "e", "s"])).select(whole.columns)
+    assert sorted(map(repr, direct.collect())) == sorted(map(repr, whole.collect()))
+    schema = T.StructType([T.StructField("n", T.LongType(), False), T.StructField("d", T.DateType()), T.StructField("s", T.StringType(), False)])
+    ok = {(r.f, r.column_name): r.ok for r in schemadrift.drift(schemadrift.narrowest(counts), schema).collect()}
+    assert ok == {("a", "n"): True, ("b", "n"): False, ("c", "n"): False, ("a", "d"): True, ("b", "d"): False, ("c", "d"): False,
+                  ("a", "s"): True, ("b", "s"): True, ("c", "s"): True}
+
+
+def test_a_joins_estimate_does_not_size_a_write(spark, tmp_dir):
+    import glob
+    import re
+
+    from boxoffice.sources.tables import write_staging
+    wide = spark.range(1_000_000).select(F.col("id").alias("a"))
+    for c in "bcd":                                       # the estimate is the product of the sides
+        wide = wide.join(spark.range(1_000_000).select(F.col("id").alias(c)), F.col("a") == F.col(c))
+    write_staging(wide.where("a < 500").withColumn("load_date", F.expr("date_add(date'2020-01-01', int(a % 20))")), tmp_dir + "/t")
+    tasks = {re.search(r"part-(\d+)", f).group(1) for f in glob.glob(tmp_dir + "/t/*/*.parquet")}
+    assert 1 <= len(tasks) <= 64 and spark.read.parquet(tmp_dir + "/t").count() == 500
+
+
+def test_xml_rows_end_outside_comments_and_cdata(spark, tmp_dir):
+    import os
+
+    from boxoffice.sources import files
+    rng = random.Random(11)
+    names, text = [], ["<?xml version='1.0'?>\n<!-- <xml> no row </xml> --><sales>\n"]
+    for i in range(300):
+        kind = rng.randrange(6)
+        name = f"E{i}" + ["", "</xml>", "<!--", "]]", "<xml>" * 40 + "</xml>" * 30, ""][kind]
+        names.append((i, name))
+        noise = ["", "<!-- </xml> ]]> <![CDATA[ -->", "<?pi </xml> --> ?>", "<!--" + "</xml>" * rng.randrange(60) + "-->"][rng.randrange(4)]
+        shown = f"<![CDATA[{name}]]>" if kind else name
+        text.append(f"<xml>{noise}<tranactionId>{i}</tranactionId><eventName>{shown}</eventName>"
+                    f"<numberOfPurchasedTickets>1</numberOfPurchasedTickets>{noise}</xml>\n")
+    os.makedirs(tmp_dir + "/x")
+    for f in ("a", "b"):
+        with open(f"{tmp_dir}/x/{f}.xml", "w") as out:
+            out.write("".join(text) + "</sales><!-- end </xml> -->")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "2000b", "300b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1b" if size != "128m" else "4m")
+            got = sorted((r.tranactionId, r.eventName) for r in files.read_sales_xml(spark, tmp_dir + "/x").collect())
+            assert got == sorted(names * 2), size
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
