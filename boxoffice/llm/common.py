@@ -1,12 +1,10 @@
-"""Helpers shared by the operators: shipping the package to executors, folders
-for written intermediates, and NumPy views of Arrow text columns."""
+"""Helpers shared by the operators: folders for written intermediates, and NumPy views of Arrow text columns."""
 
 from __future__ import annotations
 
-import os
 import uuid
-import zipfile
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,46 +12,50 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxoffice.session import shared_root
+from boxoffice.session import shared_root, ship  # noqa: F401 (operators take ship from here)
 
 #: Text bytes that NumPy code works on at a time; its temporary arrays are about 100 times as large.
 CHUNK_BYTES = 1 << 20
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors (as --py-files does), once per application."""
-    import tempfile
-
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    target = os.path.join(tempfile.mkdtemp(), "boxoffice_llm.zip")
-    with zipfile.ZipFile(target, "w") as z:
-        for folder, _, files in sorted(os.walk(top)):
-            for f in sorted(files):
-                if f.endswith(".py"):
-                    full = os.path.join(folder, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
-    spark.sparkContext.addPyFile(target)
-    _SHIPPED.add(app)
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name for an intermediate table under the shared checkpoint folder."""
     return f"{shared_root(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Folders that the open ``cleaned`` blocks will delete.
+_OPEN: list[list[str]] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: cuts lineage,
     and a lost executor costs only the tasks it was running."""
     path = scratch(df.sparkSession, name)
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Tables ``written`` in this block are deleted when it ends (also by an error), so only
+    results that were written before it, or plans that do not read them, may outlive it.
+    Spark removes the shuffle files of finished plans when the driver's memory is tidied up,
+    which is asked for here."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            delete(spark, path)
+        spark.sparkContext._jvm.System.gc()
+
+
 def crc_mod(id_col: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod`` (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % mod

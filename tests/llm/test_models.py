@@ -402,3 +402,13 @@ def test_pipeline_stages(spark, tmp_dir):
             assert len(clean & ids) >= (0.97 if name == "quality" else 0.94) * len(clean & before)
         before = ids
     assert corpus_pipeline.run(spark, SF).select("doc_id").distinct().count() == len(before)
+
+
+def test_pipeline_without_documents(spark, tmp_dir):
+    import corpus_pipeline
+
+    now = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, now, SF).write.parquet(f"{tmp_dir}/{k}")
+        now = spark.read.parquet(f"{tmp_dir}/{k}")
+        assert now.count() == 0
