@@ -1,7 +1,7 @@
 """License scans by Dice coefficient over word bigrams, in DataFrame functions only.
 
-A text's units are its lines, and its paragraphs (parts between blank lines) of several
-lines. Units and templates are normalised alike: lower case, all runs of characters other
+A text's units are its lines, and its paragraphs (parts between lines without letters or
+digits, as blank ones and bare comment signs) of several lines; lines end at CR, LF or both. Units and templates are normalised alike: lower case, all runs of characters other
 than letters and digits become one space. With A and B the distinct word bigrams of unit
 and template, Dice = 2 |A and B| / (|A| + |B|) can reach a threshold t only if |A| lies
 between |B| t / (2 - t) and |B| (2 - t) / t; templates outside these bounds are dropped
@@ -58,6 +58,11 @@ TEMPLATES = [
 ]
 
 
+#: Ends of lines, and of paragraphs.
+LINE = r"\r\n|[\r\n]"
+PARAGRAPH = r"(?:\r\n|[\r\n])(?:[^\p{L}\p{N}\r\n]*(?:\r\n|[\r\n]))+"
+
+
 def template_bigrams(text: str) -> list[str]:
     words = re.sub(r"[\W_]+", " ", text.lower()).strip().split(" ")
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
@@ -78,7 +83,7 @@ def units(docs: DataFrame, id_col: str, text_col: str, possible) -> DataFrame:
     docs = docs.select(F.monotonically_increasing_id().alias("at"), F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     text = F.col("text")
-    parts = F.concat(F.split(text, "\n"), F.filter(F.split(text, "\n[ \t]*\n"), lambda p: F.contains(p, F.lit("\n"))))
+    parts = F.concat(F.split(text, LINE), F.filter(F.split(text, PARAGRAPH), lambda p: p.rlike("[\r\n]")))
     words = F.transform(parts, lambda p: F.split(F.trim(F.regexp_replace(F.lower(p), r"[^\p{L}\p{N}]+", " ")), " "))
     rows = docs.select("at", "doc_id", F.posexplode(F.concat(words, F.array(F.array(F.lit(ITSELF))))).alias("place", "words"))
     itself = F.get("words", F.lit(0)) == ITSELF
@@ -141,8 +146,8 @@ def _sql() -> str:
 WITH templates(template, license, kind, bigrams, low, high) AS (VALUES
     {rows}),
 parts AS (
-  SELECT doc_id, list_concat(string_split(coalesce(text, ''), chr(10)),
-    list_filter(string_split_regex(coalesce(text, ''), '\n[ \t]*\n'), lambda x: contains(x, chr(10)))) AS p FROM documents),
+  SELECT doc_id, list_concat(string_split_regex(coalesce(text, ''), '{LINE}'),
+    list_filter(string_split_regex(coalesce(text, ''), '{PARAGRAPH}'), lambda x: regexp_matches(x, '[\r\n]'))) AS p FROM documents),
 units AS (SELECT doc_id, i - 1 AS unit, string_split(trim(regexp_replace(lower(p[i]), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS w
   FROM (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM parts)),
 pairs AS (SELECT doc_id, unit, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS bigrams

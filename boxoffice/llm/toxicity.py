@@ -8,7 +8,7 @@ of chance follow an extreme-value law: in clean text of n tokens about
 K n exp(-lambda S) of them reach a score of S. lambda solves the law's equation for the
 token scores of clean documents, K is fitted to their best segments, and the evidence of
 a document is the sum of lambda S - ln(K n) over its significant segments, those for
-which this is above 0 (ln(K n) taken as 0 at least). A logistic curve turns evidence into a probability; it is fitted on labelled
+which this is above 0 (ln(K n) taken as 0 at least). A logistic curve in the logarithm of 1 + evidence gives a probability; it is fitted on labelled
 documents that the token scores have not seen.
 
 Only labelled documents whose crc32(doc_id) mod 5 is not 0 are learned from: 1 to 3 give
@@ -67,7 +67,7 @@ class Model:
         return sum(max(0.0, self.lam * s - chance) for _, _, s in segments)
 
     def probability(self, evidence: float) -> float:
-        z = self.slope * evidence + self.bias
+        z = self.slope * math.log1p(evidence) + self.bias
         return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
 
 
@@ -216,7 +216,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     y = np.array([r["y"] for r in rows], float)
     if 0 < y.sum() < len(y):
         x = np.array([model.evidence(r["n"], [(0, 0, s) for s in r["segments"]]) for r in rows])
-        model.slope, model.bias = _logistic(x, y, np.where(y > 0, weigh[1, 1], weigh[0, 1]))
+        # evidence has a long tail, in which a few wrong labels would weigh more than all others
+        model.slope, model.bias = _logistic(np.log1p(x), y, np.where(y > 0, weigh[1, 1], weigh[0, 1]))
         if model.slope <= 0:
             model.slope, model.bias = 0.0, math.log(base / (1 - base))
     return model

@@ -59,7 +59,8 @@ def test_field_paths_ignore_types(spark):
 
 def brute_licenses(text):
     import re
-    parts = (text or "").split("\n") + [p for p in re.split("\n[ \t]*\n", text or "") if "\n" in p]
+    parts = re.split("\r\n|[\r\n]", text or "")
+    parts += [p for p in re.split(r"(?:\r\n|[\r\n])(?:[\W_]*?(?:\r\n|[\r\n]))+", text or "") if re.search("[\r\n]", p)]
     best, n = None, 0
     for unit, part in enumerate(parts):
         own = set(licenses.template_bigrams(part))
@@ -75,6 +76,8 @@ def test_licenses_against_brute_force(spark):
     mit = licenses.TEMPLATES[5][2]
     texts = [None, "", "one", "Prose here.\nReleased under the MIT License.\nmore", "released, under THE mit license", mit,
              "\n".join(mit[i:i + 60] for i in range(0, len(mit), 60)) + "\n\nother text",
+             "first part\r\n\r\n" + "\r\n".join(mit[i:i + 60] for i in range(0, len(mit), 60)) + "\r\n \r\n\r\nother text",
+             "// Name\n//\n// " + "\n// ".join(mit[i:i + 60] for i in range(0, len(mit), 60)) + "\n// --\ncode()",
              mit.replace("copy", "clone").replace("Software", "Work"), "license " * 5000, "Licensed under CC BY-NC 4.0.\nLicensed under CC BY 4.0."]
     rows = [(i, t, 0, "x") for i, t in enumerate(texts)] + [(3, texts[3], 0, "x"), (None, texts[4], 0, "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, unit int, license string")
