@@ -73,21 +73,29 @@ class WordTokenizer:
         fresh = words.difference(known)
         if len(parts) + 2 * len(fresh) > REMEMBERED:
             parts.clear()
-        split: dict[str, tuple[str, str]] = {}
-        plain, other = set(), []
+        # lists of texts alone: the garbage collector has nothing to follow in them
+        names: list[str] = []
+        cores: list[str] = []
+        tails: list[str] = []
+        other: list[str] = []
         for w in fresh:
             core = w.rstrip(_SIGNS)
-            tail = w[len(core):]
             if w.isascii():
-                core = core.lower()
-            if core.isalpha() and core.lower().isalpha():  # some capitals become a letter and a mark
-                split[w] = core, tail
-                plain.add(core)
-                if tail and tail not in parts:
-                    parts[tail] = self.whole(tail).tobytes()
+                low = core.lower()
+                fine = low.isalpha()
+            else:
+                low = core
+                fine = core.isalpha() and core.lower().isalpha()  # some capitals become a letter and a mark
+            if fine:
+                names.append(w)
+                cores.append(low)
+                tails.append(w[len(core):])
             else:
                 other.append(w)
-        todo = [p for p in plain if p not in parts]
+        for tail in set(tails):
+            if tail not in parts:
+                parts[tail] = self.whole(tail).tobytes() if tail else b""
+        todo = [p for p in set(cores) if p not in parts]
         for i in range(0, len(todo), 512):
             some = todo[i:i + 512]
             ids = self.whole(" ".join(some))
@@ -97,8 +105,8 @@ class WordTokenizer:
                 parts.update((p, raw[a:b]) for p, a, b in zip(some, cuts, cuts[1:]))
             else:
                 parts.update((p, self.whole(p).tobytes()) for p in some)
-        for w, (core, tail) in split.items():
-            known[w] = parts[core] + parts[tail] if tail else parts[core]
+        part = parts.__getitem__
+        known.update(zip(names, map(bytes.__add__, map(part, cores), map(part, tails))))
         for w in other:
             known[w] = self.whole(w).tobytes()
 
