@@ -16,6 +16,7 @@ ignored."""
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from collections.abc import Iterable, Iterator, Sequence
@@ -168,29 +169,42 @@ class Codec:
             words.clear()
             self.texts.clear()
         fresh = every.difference(words)
-        split = {w: self.pattern.findall(w) for w in fresh}
-        todo = {m for ms in split.values() for m in ms if m not in matches}
+        # all words' matches end to end, and how many each has: one list instead of one a word
+        fresh, flat, sizes, find = list(fresh), [], [], self.pattern.findall
+        for w in fresh:
+            ms = find(w)
+            flat += ms
+            sizes.append(len(ms))
+        todo = set(flat).difference(matches)
         if len(matches) + len(todo) > REMEMBERED:
             matches.clear()
-            todo = {m for ms in split.values() for m in ms}
+            todo = set(flat)
         todo = sorted(todo)
         if todo:
             ids, bounds = self.merge([m.encode() for m in todo])
             raw, decimals, bounds = ids.astype("<u4").tobytes(), list(map(self.decimals.__getitem__, ids.tolist())), bounds.tolist()
             for m, a, b in zip(todo, bounds, bounds[1:]):
                 matches[m] = raw[4 * a:4 * b], ",".join(decimals[a:b])
-        for w, ms in split.items():
-            if len(ms) == 1:
-                words[w], self.texts[w] = matches[ms[0]]
+        at = 0
+        for w, n in zip(fresh, sizes):
+            if n == 1:
+                words[w], self.texts[w] = matches[flat[at]]
             else:
-                parts = [matches[m] for m in ms]
+                parts = [matches[m] for m in flat[at:at + n]]
                 words[w], self.texts[w] = b"".join([p[0] for p in parts]), ",".join([p[1] for p in parts])
+            at += n
 
     def coded(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:
         """Ids of each text, and the same as decimals joined by commas; ``texts`` are few
         enough to have few distinct words."""
         split = [_words(t) for t in texts]
-        self.learn(split)
+        collects = gc.isenabled()
+        gc.disable()  # many small objects, no cycles among them
+        try:
+            self.learn(split)
+        finally:
+            if collects:
+                gc.enable()
         ids, decimals = self.words.__getitem__, self.texts.__getitem__
         for words in split:
             yield np.frombuffer(b"".join(map(ids, words)), "<u4"), ",".join(map(decimals, words))
