@@ -2,7 +2,7 @@
 
 Derived tables (staging, feeds, warehouse) are built once first and timed as
 ``setup``; then each query runs to completion (noop sink, all rows computed,
-nothing collected) and is timed warm. Prints one JSON line."""
+nothing collected) and is timed warm. Seconds go to stderr as they come; prints one JSON line."""
 
 import json
 import os
@@ -39,11 +39,13 @@ def main():
     for m in ("customers", "company", "products", "order_request"):
         wh.mart(ws, m)
     setup = time.time() - t0
+    print(f"setup {setup:.1f}", file=sys.stderr, flush=True)
     times = {}
     for n in names:
         t = time.time()
         run(REGISTRY[n](spark, sf_dir))
         times[n] = round(time.time() - t, 3)
+        print(f"{n} {times[n]}", file=sys.stderr, flush=True)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec",
