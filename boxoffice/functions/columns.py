@@ -69,34 +69,34 @@ def cidr_bounds(network) -> tuple[Column, Column]:
     return start, start + size - 1
 
 
-def ipv6_groups(ip) -> Column:
-    """IPv6 text to its eight 16-bit groups as ints; NULL for malformed text
-    (also for a dotted quad as the last two groups)."""
+def ipv6_expanded(ip) -> Column:
+    """IPv6 text with all of its eight groups written out, in lower case; NULL for malformed
+    text (also for a dotted quad as the last two groups)."""
     text = F.lower(_c(ip))
-    halves = F.split(text, "::")
+    # "::" at an end stands for one group more, written out first; then as many are missing as colons to eight
+    inner = F.regexp_replace(F.regexp_replace(text, r"\A::", "0::"), r"::\z", "::0")
+    whole = F.replace(inner, F.lit("::"), F.concat(F.lit(":"), F.repeat(F.lit("0:"), F.lit(8) - F.regexp_count(inner, F.lit(":")))))
+    none_missing = r"\A(?=.*::)[^:]+(:+[^:]+){7}\z"
+    return F.when(whole.rlike(r"\A[0-9a-f]{1,4}(:[0-9a-f]{1,4}){7}\z") & ~text.rlike(none_missing), whole)
 
-    def groups(half: Column) -> Column:
-        return F.when(half == "", F.array().cast("array<string>")).otherwise(F.split(half, ":"))
 
-    left = groups(F.get(halves, F.lit(0)))
-    right = F.when(F.size(halves) == 2, groups(F.get(halves, F.lit(1)))).otherwise(F.array().cast("array<string>"))
-    missing = F.lit(8) - F.size(left) - F.size(right)
-    whole = F.when((F.size(halves) == 1) & (missing == 0), left) \
-        .when((F.size(halves) == 2) & (missing > 0), F.concat(left, F.array_repeat(F.lit("0"), missing), right))
-    fine = F.forall(whole, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
-    return F.when(F.coalesce(fine, F.lit(False)), F.transform(whole, lambda g: F.conv(g, 16, 10).cast("int")))
+def ipv6_longs(expanded) -> Column:
+    """The 128 bits of an expanded address as a struct of two longs, ``hi`` and ``lo``."""
+    def half(first: int) -> Column:
+        digits = [F.lpad(F.split_part(_c(expanded), F.lit(":"), F.lit(i)), 4, "0") for i in range(first, first + 4)]
+        return F.conv(F.concat(*digits), 16, -10).cast("long")
 
+    return F.struct(half(1).alias("hi"), half(5).alias("lo"))
 
-def ipv6_prefix(groups, length) -> Column:
-    """The first ``length`` bits of eight groups, the rest zero, as 32 hex digits."""
+
+def ipv6_prefix(bits: Column, length) -> Column:
+    """``ipv6_longs`` with only the first ``length`` bits left."""
     length = _c(length)
 
-    def kept(g: Column, i: Column) -> Column:
-        bits = F.greatest(F.lit(0), F.least(F.lit(16), length - i * 16))
-        size = F.pow(F.lit(2.0), F.lit(16) - bits).cast("int")
-        return F.lpad(F.lower(F.hex((g - g % size).cast("long"))), 4, "0")
+    def kept(half: Column, n: Column) -> Column:
+        return F.when(n <= 0, F.lit(0).cast("long")).otherwise(half.bitwiseAND(F.call_function("shiftleft", F.lit(-1).cast("long"), 64 - F.least(n, F.lit(64)))))
 
-    return F.array_join(F.transform(_c(groups), kept), "")
+    return F.struct(kept(bits["hi"], length).alias("hi"), kept(bits["lo"], length - 64).alias("lo"))
 
 
 def business_key(name, ts) -> Column:

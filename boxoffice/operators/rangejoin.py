@@ -8,12 +8,13 @@ merged in one pass. A wide block is one row and a few more at borders, not one r
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boxoffice.functions.columns import cidr_bounds, ipv4_to_long, ipv6_groups, ipv6_prefix
+from boxoffice.functions.columns import cidr_bounds, ipv4_to_long, ipv6_expanded, ipv6_longs, ipv6_prefix
 from boxoffice.operators.hotkeys import spread_join
 from boxoffice.session import ship
 
@@ -47,7 +48,8 @@ def ip_range_lookup(df: DataFrame, ip_col: str, blocks: DataFrame, payload: list
     each address, so every row still gets at most one match.
     """
     if nested:
-        return merge_ranges(df, ip_col, flatten_blocks(blocks, payload, network_col), payload)
+        cuts = borders(blocks.select(cidr_bounds(network_col)[0].alias("a")), df.select(ipv4_to_long(ip_col).alias("a")))
+        return merge_ranges(df, ip_col, flatten_blocks(blocks, payload, network_col, cuts), payload, cuts)
     ranges = block_ranges(blocks, network_col).select(
         F.col("_bucket").alias("_rb"), "ip_start", "ip_end", *payload)
 
@@ -63,11 +65,16 @@ GROUP_ROWS, MOST_GROUPS = 1 << 14, 1024
 TOP = 1 << 32
 
 
-def borders(places: DataFrame, groups: int) -> list[int]:
-    """Borders that cut each column of ``places`` into ``groups`` parts of about equal rows, and
-    the ends of the address space. As many as groups, however many rows there are."""
-    cuts = places.approxQuantile(places.columns, [i / groups for i in range(1, groups)], 0.5 / groups) if groups > 1 else []
-    return sorted({0, TOP, *(int(x) for column in cuts for x in column)})
+def borders(*places: DataFrame) -> list[int]:
+    """Borders that cut the addresses in each of ``places`` (a column each) into groups of about
+    ``GROUP_ROWS``, and the ends of the address space. One pass counts them and draws
+    ``MOST_GROUPS`` quantiles, of which as many are borders as there are groups."""
+    grid = [i / MOST_GROUPS for i in range(1, MOST_GROUPS)]
+    tagged = [p.toDF("a").select(F.lit(i).alias("of"), "a") for i, p in enumerate(places)]
+    told = reduce(DataFrame.unionByName, tagged).groupBy("of").agg(
+        F.count("a").alias("n"), F.percentile_approx("a", grid, 4 * MOST_GROUPS).alias("q")).collect()
+    groups = min(MOST_GROUPS, max((-(-r["n"] // GROUP_ROWS) for r in told), default=1) or 1)
+    return sorted({0, TOP, *(r["q"][i * MOST_GROUPS // groups - 1] for r in told if r["n"] for i in range(1, groups))})
 
 
 def _group_of(place: Column, cuts: list[int]) -> Column:
@@ -81,11 +88,8 @@ def _group_of(place: Column, cuts: list[int]) -> Column:
     return pick(0, len(cuts) - 1)
 
 
-def _groups(rows: int) -> int:
-    return min(MOST_GROUPS, -(-rows // GROUP_ROWS))
-
-
-def flatten_blocks(blocks: DataFrame, payload: Sequence[str], network_col: str = "network") -> DataFrame:
+def flatten_blocks(blocks: DataFrame, payload: Sequence[str], network_col: str = "network",
+                   cuts: list[int] | None = None) -> DataFrame:
     """Disjoint ranges ``(ip_start, ip_end, *payload)`` that say for each address which is the
     smallest block that contains it. Blocks are cut at borders between groups (networks nest, so
     at most 33 contain a border) and each group is swept once in order, with the open
@@ -97,7 +101,7 @@ def flatten_blocks(blocks: DataFrame, payload: Sequence[str], network_col: str =
     nets = blocks.select(start.alias("ip_start"), end.alias("ip_end"), *payload).where("ip_start is not null and ip_end is not null")
     packed = F.min(F.struct(F.lit(0).alias("_"), *payload)).alias("p")
     nets = nets.groupBy("ip_start", "ip_end").agg(packed).select("ip_start", "ip_end", *[F.col(f"p.{c}").alias(c) for c in payload])
-    cuts = borders(nets.select("ip_start"), _groups(nets.count()))
+    cuts = cuts or borders(nets.select("ip_start"))
     first, last = _group_of(F.col("ip_start"), cuts), _group_of(F.col("ip_end"), cuts)
     # a border cuts nested blocks alike: their sizes before it tell which lies inside which
     at = nets.withColumn("_size", F.col("ip_end") - F.col("ip_start")).withColumn("_group", F.explode(F.sequence(first, last)))
@@ -140,17 +144,13 @@ def flatten_blocks(blocks: DataFrame, payload: Sequence[str], network_col: str =
     return cut.groupBy("_group").applyInArrow(sweep, "ip_start long, ip_end long, " + ", ".join(f"`{c}` {kinds[c]}" for c in payload))
 
 
-def merge_ranges(df: DataFrame, ip_col: str, ranges: DataFrame, payload: Sequence[str]) -> DataFrame:
+def merge_ranges(df: DataFrame, ip_col: str, ranges: DataFrame, payload: Sequence[str], cuts: list[int]) -> DataFrame:
     """LEFT join every row to the range of ``flatten_blocks`` that holds its address. Each distinct
-    address is looked up once: addresses and range starts, dealt by the same borders, are
+    address is looked up once: addresses and range starts, dealt by the same borders ``cuts``, are
     sorted together, and an address takes the last start before it. Rows of an address that many
     rows have are joined back in pieces."""
     payload = list(payload)
     ips = df.select(ipv4_to_long(ip_col).alias("_ip")).where("_ip is not null").distinct()
-    places = ranges.select(F.col("ip_start").alias("a"), F.lit(None).cast("long").alias("b")).unionByName(
-        df.select(F.lit(None).cast("long").alias("a"), ipv4_to_long(ip_col).alias("b")))
-    most = places.agg(F.greatest(F.count("a"), F.count("b")).alias("n")).first()["n"]
-    cuts = borders(places, _groups(most))
     lows = F.array(*[F.lit(c) for c in cuts])
     cut = ranges.withColumn("_group", F.explode(F.sequence(_group_of(F.col("ip_start"), cuts), _group_of(F.col("ip_end"), cuts))))
     kinds = dict(ranges.dtypes)
@@ -177,15 +177,19 @@ def ipv6_prefix_lookup(df: DataFrame, ip_col: str, blocks: DataFrame, payload: l
     which matches nothing.
     """
     length = F.try_element_at(F.split(network_col, "/"), F.lit(2)).try_cast("int")
-    nets = blocks.select(length.alias("_len"), ipv6_groups(F.get(F.split(network_col, "/"), F.lit(0))).alias("_g"), *payload) \
-        .filter(F.col("_g").isNotNull() & F.col("_len").between(0, 128))
-    nets = nets.select("_len", ipv6_prefix("_g", "_len").alias("_prefix"), *payload)
+    nets = blocks.select(length.alias("_len"), ipv6_expanded(F.get(F.split(network_col, "/"), F.lit(0))).alias("_full"), *payload) \
+        .filter(F.col("_full").isNotNull() & F.col("_len").between(0, 128))
+    nets = nets.select("_len", ipv6_prefix(ipv6_longs("_full"), "_len").alias("_prefix"), *payload)
     lengths = sorted(r["_len"] for r in nets.select("_len").distinct().collect())
-    ips = df.select(F.col(ip_col).alias("_ip")).distinct().withColumn("_g", ipv6_groups("_ip"))
-    cut = ips.filter(F.col("_g").isNotNull()).select("_ip", "_g", F.explode(F.array(*[F.lit(n) for n in lengths]).cast("array<int>")).alias("_len"))
-    cut = cut.select("_ip", "_len", ipv6_prefix("_g", "_len").alias("_prefix"))
-    row = F.struct("_len", *payload)
-    best = cut.join(nets, ["_len", "_prefix"]).groupBy("_ip").agg(F.max(row).alias("_b"))
-    known = ips.select("_ip", F.col("_g").isNotNull().alias("_ok")).join(best, "_ip", "left")
+    ips = df.select(F.col(ip_col).alias("_ip")).distinct().select("_ip", ipv6_expanded("_ip").alias("_full"))
+    # malformed text has a prefix that no network has, each another, so that it is spread
+    bits = F.when(F.col("_full").isNotNull(), ipv6_longs("_full")) \
+        .otherwise(F.struct(F.lit(None).cast("long").alias("hi"), F.xxhash64("_ip").alias("lo")))
+    bits = ips.select("_ip", F.col("_full").isNotNull().alias("_ok"), bits.alias("_bits"))
+    cut = bits.select("*", F.explode_outer(F.array(*[F.lit(n) for n in lengths]).cast("array<int>")).alias("_len"))
+    cut = cut.select("_ip", "_ok", "_len", F.when(F.col("_ok"), ipv6_prefix(F.col("_bits"), "_len")).otherwise(F.col("_bits")).alias("_prefix"))
+    row = F.when(F.col("_hit"), F.struct("_len", *payload))
+    known = cut.join(nets.withColumn("_hit", F.lit(True)), ["_len", "_prefix"], "left") \
+        .groupBy("_ip").agg(F.max("_ok").alias("_ok"), F.max(row).alias("_b"))
     return spread_join(df, known, [(ip_col, "_ip")], "left").select(
         *[df[c] for c in df.columns], F.coalesce("_ok", F.lit(False)).alias("ip_ok"), *[F.col(f"_b.{p}").alias(p) for p in payload])

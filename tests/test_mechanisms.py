@@ -79,7 +79,9 @@ def brute_network(blocks, ip):
     return min(inside)[1] if inside else None
 
 
-def test_nested_networks_give_the_longest_prefix(spark):
+@pytest.mark.parametrize("group", [1 << 14, 100])
+def test_nested_networks_give_the_longest_prefix(spark, monkeypatch, group):
+    monkeypatch.setattr(rangejoin, "GROUP_ROWS", group)
     rng = random.Random(8)
     nets = [("0.0.0.0/0", "all")] * 1 + [("10.0.0.0/8", "ten"), ("10.0.0.0/8", "other"), ("10.0.0.0/9", "half"), ("10.0.0.0/32", "one"),
                                          ("255.255.255.255/32", "last"), ("bad", "x"), ("1.2.3.4/40", "y")]
@@ -109,6 +111,27 @@ def test_a_wide_network_is_a_few_rows(spark):
     assert [tuple(r) for r in rangejoin.ip_range_lookup(reqs, "client_ip", empty, ["country"], nested=True).collect()] == [("10.0.0.1", None)]
 
 
+def test_ipv6_lookup_equals_the_library(spark):
+    rng = random.Random(6)
+    nets = [("::/0", "all"), ("2001:db8::/32", "doc"), ("2001:DB8:0:8000::/49", "half"), ("2001:db8::1:0:0:0/64", "x"), ("::1/128", "one"),
+            ("2001:db8::/129", "bad"), ("2001:db8::", "bad"), ("8000::/1", "top"), ("2001:db8::8000:0:0:0/65", "low")]
+    ips = [str(ipaddress.IPv6Address(rng.getrandbits(128))) for _ in range(200)]
+    ips += [str(ipaddress.IPv6Address((0x20010db8 << 96) + (rng.getrandbits(64) << rng.choice([0, 16, 32])))) for _ in range(200)]
+    ips += ["::", "::1", "1::", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::", "ffff:FFFF:ffff:ffff:ffff:ffff:ffff:ffff", "2001:db8:0:8000::"]
+    bad = ["", ":", ":::", "1::2::3", "1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8:9", "1:2:3:4::5:6:7:8", "::12345", "g::", "1:", ":1", "::1.2.3.4", "::1 ",
+           "::1\n", None, "1:::2", "10.0.0.1"]
+    parsed = [(ipaddress.ip_network(n.lower(), strict=False), c) for n, c in nets if c != "bad"]
+
+    def brute(ip):
+        inside = [(n.prefixlen, c) for n, c in parsed if ipaddress.IPv6Address(ip) in n]
+        return (True, max(inside)[1])
+
+    df = spark.createDataFrame(list(enumerate(ips + bad)), "id int, client_ip string")
+    out = rangejoin.ipv6_prefix_lookup(df, "client_ip", spark.createDataFrame(nets, "network string, country string"), ["country"])
+    want = {i: brute(ip) for i, ip in enumerate(ips)} | {len(ips) + i: (False, None) for i in range(len(bad))}
+    assert {r.id: (r.ip_ok, r.country) for r in out.collect()} == want
+
+
 def test_packed_numbers_come_back():
     import numpy as np
     rng = np.random.default_rng(9)
