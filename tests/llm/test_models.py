@@ -115,6 +115,16 @@ def brute_left_out(trusted, rest, text):
     return sum(math.log(p(g)) for g in grams(text))
 
 
+def test_same_threshold_rule_with_many_held_out(spark):
+    """More than 500 held-out documents: those that were counted still take part in the quantile."""
+    odd = {i for i in range(5600) if i % 20 == 0 and not quality.held_out(i)}
+    rows = [(i, " ".join(f"{(i * 7919 + j * 104729) % 9973:x}!" for j in range(4)) if i in odd else f"the plain text {i % 50}", "en") for i in range(5600)]
+    assert sum(quality.held_out(i) for i in range(5600)) > 500
+    labels = spark.createDataFrame([(i, 1) for i in range(5600)], "doc_id long, quality int")
+    got = quality.score(docs(spark, rows), labels).collect()
+    assert got[0]["threshold"] > max(r["perplexity"] for r in got if quality.held_out(r["doc_id"]))
+
+
 def test_own_counts_taken_off(spark, monkeypatch):
     """The threshold of few documents: a quantile of their perplexities, each without its own counts."""
     rnd = random.Random(7)
