@@ -104,3 +104,16 @@ def test_create_table_if_absent_is_idempotent(spark, tmp_dir):
     spark.createDataFrame([(1, "a", D(2000, 1, 1))], schema).write.insertInto(name)
     create_table_if_absent(spark, name, schema, tmp_dir, ["load_date"])      # second call keeps the data
     assert [tuple(r) for r in spark.table(name).collect()] == [(1, "a", D(2000, 1, 1))]
+
+
+def test_a_feed_file_is_one_part_however_much_is_shuffled(spark, tmp_dir):
+    """More bytes than a task writes: splits of a piece would each hold rows of all its files."""
+    from pyspark.sql import functions as F
+
+    from boxoffice.session import setting
+    rows = spark.range(60000, numPartitions=8).select(F.col("id"), F.sha2(F.col("id").cast("string"), 512).alias("x"),
+                                     F.concat(F.lit("DailySales_010100_"), (F.col("id") % 300).cast("string"), F.lit(".csv")).alias("source_file"))
+    with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k"):
+        files.write_sales_csv(rows, tmp_dir)
+    assert len(files.list_files(spark, tmp_dir, "*.csv").collect()) == 300
+    assert spark.read.option("header", True).csv(tmp_dir).count() == 60000
