@@ -7,7 +7,7 @@ positions per rank; a tree of 64-bit words marks the buckets in use, so the next
 is found by a find-first-set per level, and a merge costs a few steps however long the
 match is. Positions whose pair has changed since they were queued are skipped.
 
-Matches repeat, so each Python worker remembers those it met last (bounded).
+Matches repeat, so each Python worker remembers those it met last (bounded; when full, those of the present batch stay).
 
 Defined results: null and empty texts have no ids and decode to no bytes; special
 tokens' strings are ordinary text; repeated rows each get their row; other columns are
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from boxoffice.llm import common
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-#: Words and matches that a worker remembers.
-REMEMBERED = 400_000
+#: Words and matches that a worker remembers, together.
+REMEMBERED = 600_000
 #: Text bytes encoded at a time.
 BATCH_BYTES = 8 << 20
 
@@ -93,8 +93,7 @@ class Codec:
         self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)])
         self.byte_pairs = np.array([[self.pairs.get(a << 32 | b, -1) for b in self.bytes.tolist()]
                                     for a in self.bytes.tolist()])
-        #: ids of matches and words, as little-endian 32-bit bytes and as decimals joined by commas
-        self.matches: dict[str, tuple[bytes, str]] = {}
+        #: ids of words and matches, as little-endian 32-bit bytes and as decimals joined by commas
         self.words: dict[str, bytes] = {}
         self.texts: dict[str, str] = {}
 
@@ -163,35 +162,28 @@ class Codec:
 
     def learn(self, texts: list[list[str]]) -> None:
         """Remember the words of ``texts`` (each a list of words)."""
-        words, matches = self.words, self.matches
         every = set().union(*texts)
-        if len(words) + len(every) > REMEMBERED:
-            words.clear()
-            self.texts.clear()
-        fresh = every.difference(words)
+        if len(self.words) + len(every) > REMEMBERED:  # these come again soonest
+            self.words = {w: self.words[w] for w in every if w in self.words}
+            self.texts = {w: self.texts[w] for w in self.words}
+        words, decimals = self.words, self.texts
         # all words' matches end to end, and how many each has: one list instead of one a word
-        fresh, flat, sizes, find = list(fresh), [], [], self.pattern.findall
+        fresh, flat, sizes, find = list(every.difference(words)), [], [], self.pattern.findall
         for w in fresh:
             ms = find(w)
             flat += ms
             sizes.append(len(ms))
-        todo = set(flat).difference(matches)
-        if len(matches) + len(todo) > REMEMBERED:
-            matches.clear()
-            todo = set(flat)
-        todo = sorted(todo)
+        todo = sorted(set(flat).difference(words))
         if todo:
             ids, bounds = self.merge([m.encode() for m in todo])
-            raw, decimals, bounds = ids.astype("<u4").tobytes(), list(map(self.decimals.__getitem__, ids.tolist())), bounds.tolist()
+            raw, some, bounds = ids.astype("<u4").tobytes(), list(map(self.decimals.__getitem__, ids.tolist())), bounds.tolist()
             for m, a, b in zip(todo, bounds, bounds[1:]):
-                matches[m] = raw[4 * a:4 * b], ",".join(decimals[a:b])
+                words[m], decimals[m] = raw[4 * a:4 * b], ",".join(some[a:b])
         at = 0
         for w, n in zip(fresh, sizes):
-            if n == 1:
-                words[w], self.texts[w] = matches[flat[at]]
-            else:
-                parts = [matches[m] for m in flat[at:at + n]]
-                words[w], self.texts[w] = b"".join([p[0] for p in parts]), ",".join([p[1] for p in parts])
+            if n > 1:
+                words[w] = b"".join(map(words.__getitem__, flat[at:at + n]))
+                decimals[w] = ",".join(map(decimals.__getitem__, flat[at:at + n]))
             at += n
 
     def coded(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:
@@ -222,16 +214,14 @@ class Codec:
         return self.token_bytes[np.repeat(self.token_start[ids] - end + size, size) + np.arange(end[-1])].tobytes()
 
 
-_SINGLE = re.compile(r"(?<=\S) (?=\S)")
-_OTHER = re.compile(r"[^\S ]|  |^ | $")
+_BORDER = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
 def _words(text: str) -> list[str]:
     """The text in parts whose matches are independent. A match never goes on over a
-    single space between two characters that are not white space, but begins with it;
-    white space of any other form keeps its words together."""
-    words = _SINGLE.split(text) if _OTHER.search(text) else text.split(" ")
-    return [words[0], *[" " + w for w in words[1:]]] if text else []
+    single space or line feed between two characters that are not white space, but begins
+    with it (or is the line feed); white space of any other form keeps its words together."""
+    return _BORDER.split(text) if text else []
 
 
 _CODECS: dict[str, Codec] = {}

@@ -39,6 +39,19 @@ def test_bpe_matches_library(library):
         assert coder.decode(ids) == text.encode()
 
 
+def test_bpe_merges_no_word_again_that_stays(library, monkeypatch):
+    """A full memory keeps the present batch's words; a line feed joins no two words to a new one."""
+    coder, merged = bpe.Codec(P.path(bpe.RANKS)), []
+    merge = coder.merge
+    monkeypatch.setattr(bpe, "REMEMBERED", 30)
+    monkeypatch.setattr(coder, "merge", lambda pieces: merged.extend(pieces) or merge(pieces))
+    texts = ["x " + " ".join(f"{a}ork" for a in letters) for letters in ("bcdefgh", "bcdefgijklm", "bcdefgnopqr", "bcdefgstuvy")]
+    for text in texts * 3:
+        assert [*coder.encode([text, "bork cork\ndork"])] == [library.encode_ordinary(t) for t in (text, "bork cork\ndork")]
+    assert merged.count(b" cork") == merged.count(b" eork") == 1
+    assert len(coder.words) <= 30 and not any("\n" in w[1:] for w in coder.words)
+
+
 def test_rank_queue_goes_by_rank():
     queue, rnd = bpe.RankQueue(50_000), random.Random(1)
     ranks = rnd.sample(range(50_000), 3000)
