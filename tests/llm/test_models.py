@@ -141,6 +141,34 @@ def test_own_counts_taken_off(spark, monkeypatch):
     assert {r["threshold"] for r in got} == {held[math.ceil(quality.QUANTILE * len(held)) - 1]}
 
 
+def test_ngrams_travel_packed():
+    """N-grams come back as sent, in a third of their 8 bytes where words repeat."""
+    rnd = np.random.default_rng(4)
+    for kind, symbols in ((quality.CHARS, 40), (quality.TRIGRAMS, 3000)):
+        text = rnd.integers(3, symbols, 60_000)
+        keys = np.unique(sum(text[k:len(text) - kind.order + k + 1] << kind.bits * (kind.order - 1 - k) for k in range(kind.order)))
+        counts = rnd.integers(0, 3, len(keys))
+        packed = quality.packed_keys(keys, counts, kind)
+        assert all((a == b).all() for a, b in zip(quality.unpacked_keys(packed, kind), (keys, counts)))
+        assert len(packed) < len(keys) * 8 / 1.5
+        assert len(quality.unpacked_keys(quality.packed_keys(keys[:0], counts[:0], kind), kind)[0]) == 0
+
+
+def test_quality_is_the_same_in_many_blocks_shards_and_slices(spark, monkeypatch):
+    rnd = random.Random(8)
+    rows = [(i, " ".join(rnd.choice(["the", "of", "cat", "dog", f"w{rnd.randint(0, 40)}"]) for _ in range(60)), rnd.choice(["en", "de", None])) for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(300)], "doc_id long, quality int")
+    def scored():
+        # near a float's last digits: sums go in another order
+        return {r["doc_id"]: [f"{x:.9g}" if isinstance(x, float) else x for x in r] for r in quality.score(docs(spark, rows).repartition(5), labels, block_bytes=1 << 12).collect()}
+    monkeypatch.setattr(quality, "SHARD_BLOCKS", 1000)
+    want = scored()
+    monkeypatch.setattr(quality, "SHARD_BLOCKS", 1)
+    monkeypatch.setattr(quality, "SLICE", 500)
+    monkeypatch.setattr(quality, "LEFT_OUT", 10)
+    assert scored() == want and len(want) == 300
+
+
 def brute_words(trusted, text):
     """Interpolated modified Kneser-Ney over word trigrams."""
     def grams(t):
