@@ -154,6 +154,36 @@ def test_ngrams_travel_packed():
         assert len(quality.unpacked_keys(quality.packed_keys(keys[:0], counts[:0], kind), kind)[0]) == 0
 
 
+def test_answers_travel_in_a_byte_a_context():
+    """Counts and contexts' numbers come back exactly, in fewer bytes than with an array for each number."""
+    rnd = np.random.default_rng(5)
+    for kind, symbols in ((quality.CHARS, 1 << 16), (quality.TRIGRAMS, 30_000)):
+        def some(size):
+            s = (rnd.zipf(1.3, (size, kind.order)) % symbols).astype(np.uint64)
+            return sum(s[:, k] << np.uint64(kind.bits * (kind.order - 1 - k)) for k in range(kind.order)).view(np.int64)
+        keys, n = np.unique(some(200_000), return_counts=True)
+        about, wanted = quality.context_totals(keys, n, kind), np.unique(np.concatenate([some(20_000), keys[::9]]))
+        contexts, at = np.unique(quality._context(wanted, kind), return_inverse=True)
+        plain = [quality._found(keys, n, wanted), quality._found(*about, contexts)]
+        packed = quality.packed_arrays(quality._answer(wanted, (keys, n), about, kind))
+        counts, numbers = quality._told(*quality.unpacked_arrays(packed), at)
+        assert (counts == plain[0]).all() and (numbers == plain[1]).all() and (numbers[:, 0] > 100).any()
+        assert len(packed) < 0.85 * len(quality.packed_arrays([plain[0], *plain[1].T]))
+        assert all(len(x) == 0 for x in quality._told(*quality.unpacked_arrays(quality.packed_arrays(quality._answer(keys[:0], (keys, n), about, kind))), at[:0]))
+
+
+def test_words_of_many_texts_at_once():
+    texts = [" a  bc\u00a0d\n", "\t ", "x", "\x1cy\x1f z\x0b\x0c\r", "\U0001f600 \u2003 x x", "end "]
+    got = quality.word_hashes(texts)
+    assert [x.tolist() for x in got] == [[zlib.crc32(w) for w in t.encode().split()] for t in texts]
+    keys, sizes = quality.word_grams(got)
+    assert sizes.tolist() == [len(x) + 1 for x in got]
+    one_by_one = [quality.word_grams([x])[0] for x in got]
+    assert keys.tolist() == np.concatenate(one_by_one).tolist()
+    s = [quality.BEGIN] * 2 + [h % (quality.WORDS - 3) + 3 for h in got[0].tolist()] + [quality.END]
+    assert one_by_one[0].tolist() == [a << 42 | b << 21 | c for a, b, c in zip(s, s[1:], s[2:])]
+
+
 def test_quality_is_the_same_in_many_blocks_shards_and_slices(spark, monkeypatch):
     rnd = random.Random(8)
     rows = [(i, " ".join(rnd.choice(["the", "of", "cat", "dog", f"w{rnd.randint(0, 40)}"]) for _ in range(60)), rnd.choice(["en", "de", None])) for i in range(300)]
