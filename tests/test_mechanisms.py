@@ -270,3 +270,15 @@ def test_xml_rows_end_outside_comments_and_cdata(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+
+def test_feeds_are_parsed_once_and_kept_compressed(spark):
+
+    from boxoffice.plans import staging as stg
+    from boxoffice.workspace import Workspace
+    ws = Workspace(spark, "/root/testdata/sf0.001")
+    for again in stg.reprocessed(ws, "xml"):
+        plan = again._jdf.queryExecution().toString()
+        assert "from_xml" not in plan and "MapInArrow" not in plan and "landed/xml" in plan
+    assert sorted(map(repr, stg.xml_rows(ws).collect())) == sorted(map(repr, stg.xml_feed(ws).collect()))
