@@ -282,3 +282,16 @@ def test_feeds_are_parsed_once_and_kept_compressed(spark):
         plan = again._jdf.queryExecution().toString()
         assert "from_xml" not in plan and "MapInArrow" not in plan and "landed/xml" in plan
     assert sorted(map(repr, stg.xml_rows(ws).collect())) == sorted(map(repr, stg.xml_feed(ws).collect()))
+
+
+
+def test_shuffles_of_a_built_table_are_removed_when_it_is_written(spark, tmp_dir, monkeypatch):
+    from boxoffice.workspace import Workspace
+    ws = Workspace(spark, tmp_dir)
+    monkeypatch.setattr(ws, "root", tmp_dir + "/tables")
+    shuffles = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    before = set(range(1_000_000)) if shuffles is None else {k for k in range(100_000) if shuffles.contains(k)}
+    made = ws.parquet("t", lambda: spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    assert made.count() == 7
+    kept = {k for k in range(max(before, default=0) + 1, max(before, default=0) + 1000) if shuffles.contains(k)}
+    assert len(kept) <= 1                                 # that of made.count() above
