@@ -272,8 +272,8 @@ def test_xml_rows_end_outside_comments_and_cdata(spark, tmp_dir):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-
 def test_feeds_are_parsed_once_and_kept_compressed(spark):
+    import glob
 
     from boxoffice.plans import staging as stg
     from boxoffice.workspace import Workspace
@@ -281,8 +281,34 @@ def test_feeds_are_parsed_once_and_kept_compressed(spark):
     for again in stg.reprocessed(ws, "xml"):
         plan = again._jdf.queryExecution().toString()
         assert "from_xml" not in plan and "MapInArrow" not in plan and "landed/xml" in plan
+    assert "landed/csv" in stg.reprocessed(ws, "csv")[0]._jdf.queryExecution().toString()
+    parts = glob.glob(stg.xml_feed_path(ws).removeprefix("file:") + "/part-*")
+    assert parts and all(p.endswith(".gz") for p in parts)
     assert sorted(map(repr, stg.xml_rows(ws).collect())) == sorted(map(repr, stg.xml_feed(ws).collect()))
+    assert sorted(map(repr, stg.csv_rows(ws).collect())) == sorted(map(repr, stg.csv_feed(ws).collect()))
+
+
+def test_a_feed_of_several_drop_folders_is_landed_folder_by_folder(spark, tmp_dir, monkeypatch):
+    import datetime as dt
+    import os
 
+    from boxoffice import fixtures as fx
+    from boxoffice.plans import staging as stg
+    from boxoffice.sources import files
+    from boxoffice.workspace import Workspace
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.CSV_SCHEMA.fields)
+    rows = [(i, f"E{i}", 2, None, "web", "Ann", None, None, dt.date(1999, 6, 1), f"DailySales_0101000_{i % 40}.csv") for i in range(200)]
+    feed = spark.createDataFrame(rows, schema + ", source_file string")
+    monkeypatch.setattr(fx, "f_csv_sale", lambda *a: feed)
+    monkeypatch.setattr(fx, "f_reseller", lambda *a: spark.range(40))
+    monkeypatch.setattr(stg, "FILES_A_FOLDER", 16)
+    listed, read = [], files.read_sales_csv
+    monkeypatch.setattr(files, "read_sales_csv", lambda s, path, **k: listed.append(path) or read(s, path, **k))
+    ws = Workspace(spark, tmp_dir)
+    monkeypatch.setattr(ws, "root", tmp_dir + "/tables")
+    got = stg.csv_rows(ws)
+    assert len(listed) == 3 and len({os.path.basename(p) for p in listed}) == 3
+    assert sorted(repr(tuple(r)) for r in got.collect()) == sorted(map(repr, rows))
 
 
 def test_shuffles_of_a_built_table_are_removed_when_it_is_written(spark, tmp_dir, monkeypatch):
